@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_of
+from tessera.llm.common import cut, text_of
 
 SALTS = 16
 
@@ -51,16 +51,19 @@ def winners(docs: DataFrame, salts: int = SALTS, digest: Callable[[Column], Colu
 def mark(docs: DataFrame, salts: int = SALTS, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """Each row's group: doc_id, keep_id, group_size, kept, digest (bytes)."""
     won = winners(docs, salts, digest)
-    by_digest = won.groupBy("digest").agg(
-        F.count("*").alias("n_texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size")
+    # Digests and numbers only: the texts are shuffled twice, and the lineage is cut behind them.
+    by_digest = cut(
+        won.groupBy("digest").agg(
+            F.count("*").alias("n_texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size")
+        )
     )
-    single = by_digest.filter("n_texts = 1").drop("n_texts")
-    shared = by_digest.filter("n_texts > 1").select("digest")
     rows = _hashed(docs, digest)
-    plain = rows.drop("text").join(single, "digest")
-    # Digests of several texts: none with SHA-256, so this branch moves no text.
-    clash = rows.join(shared, "digest", "left_semi").join(won.join(shared, "digest", "left_semi"), ["digest", "text"])
-    return plain.unionByName(clash.drop("text")).select(
+    marked = rows.drop("text").join(by_digest.filter("n_texts = 1").drop("n_texts"), "digest")
+    shared = by_digest.filter("n_texts > 1").select("digest")
+    if not shared.isEmpty():
+        clash = rows.join(shared, "digest", "left_semi").join(won, ["digest", "text"])
+        marked = marked.unionByName(clash.drop("text"))
+    return marked.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"
     )
 
