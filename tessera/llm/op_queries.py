@@ -5,13 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, quality_rules
+from tessera.llm import chat, exact_dedup, mixing, pii, quality_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        mixing.assign(_read(spark, sf_dir, "documents"))
+        .select(
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            "taken",
+            F.size("takes").cast("long").alias("n_takes"),
+            F.get("takes", F.lit(0))["position"].alias("first_position"),
+        )
+        .orderBy("first_position", "doc_id")
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_read(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -28,14 +44,28 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(_read(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(_read(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(_read(spark, sf_dir, "conversations"))
+
+
 def queries():
-    return {"op3_quality_rules": op3_quality_rules, "op7_exact_dedup": op7_exact_dedup}
+    return {
+        "op1_mixing": op1_mixing,
+        "op3_quality_rules": op3_quality_rules,
+        "op6_pii": op6_pii,
+        "op7_exact_dedup": op7_exact_dedup,
+        "op9_chat": op9_chat,
+    }
 
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
@@ -83,5 +113,87 @@ FROM d JOIN g USING (text)
 """
 
 
+_WEIGHTS = ", ".join(map(str, mixing.WEIGHTS))
+
+
+def _position(share: str, knots) -> str:
+    pieces = [(t0, t1, w0, w1, (t1 - t0) * (w0 + w1) / 2) for (t0, w0), (t1, w1) in zip(knots, knots[1:])]
+    whole, before, cases = sum(p[4] for p in pieces), 0.0, ""
+    for t0, t1, w0, w1, area in pieces:
+        rest = f"({share} * CAST({whole} AS DOUBLE) - CAST({before} AS DOUBLE))"
+        root = f"sqrt(greatest(0.0::DOUBLE, {w0 * w0}::DOUBLE + {2 * (w1 - w0) / (t1 - t0)}::DOUBLE * {rest}))"
+        before += area
+        cases += (
+            f" WHEN {share} * CAST({whole} AS DOUBLE) <= CAST({before} AS DOUBLE) THEN"
+            f" least({t1}::DOUBLE, {t0}::DOUBLE + 2::DOUBLE * {rest} / ({w0}::DOUBLE + {root}))"
+        )
+    return f"CASE{cases} ELSE {knots[-1][0]}::DOUBLE END"
+
+
+_FIRST = " ".join(
+    f"WHEN rank % {len(mixing.SCHEDULES)} = {k} THEN {_position('(start / quota)', knots)}"
+    for k, knots in enumerate(mixing.SCHEDULES)
+)
+
+OP1_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                              lambda x: x <> '')) AS BIGINT) AS size
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s),
+c AS (SELECT *, CAST(([{_WEIGHTS}])[rank % {len(mixing.WEIGHTS)} + 1] AS DOUBLE) AS weight,
+             CAST(source_size * {mixing.MAX_REPEATS} AS DOUBLE) AS cap FROM r),
+l AS (
+  SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) AS total,
+         coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           AS capped,
+         sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+           AS open_weight,
+         row_number() OVER (ORDER BY cap / weight, rank) AS nth
+  FROM c),
+f AS (SELECT * FROM l WHERE cap * open_weight > weight * (total - capped) ORDER BY nth LIMIT 1),
+t AS (
+  SELECT l.source, l.source_size, l.rank,
+         CASE WHEN l.nth >= f.nth THEN l.weight * (f.total - f.capped) / f.open_weight ELSE l.cap END AS target
+  FROM l LEFT JOIN f ON true),
+p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.rank, CAST(floor(t.target + 0.5) AS BIGINT) AS quota,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS FIRST, d.size
+                                ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST({' + '.join(f'greatest(0, least(size, quota - {k} * source_size - start))' for k in range(mixing.MAX_REPEATS))}
+            AS BIGINT) AS taken,
+       CAST({' + '.join(f'(CASE WHEN size > 0 AND {k} * source_size + start < quota THEN 1 ELSE 0 END)' for k in range(mixing.MAX_REPEATS))}
+            AS BIGINT) AS n_takes,
+       CASE WHEN size > 0 AND start < quota THEN CASE {_FIRST} END END AS first_position
+FROM p
+"""
+
+OP9_SQL = """
+WITH t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM (SELECT *, md5(coalesce(role, chr(0)) || chr(1) || coalesce(text, chr(0))) AS digest FROM conversations)),
+p AS (
+  SELECT conv_id, place, n_turns, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY place) AS prefix FROM t),
+w AS (SELECT prefix, n_turns, min(conv_id) AS conv_id, count(*) AS n_equal
+      FROM p WHERE place = n_turns GROUP BY prefix, n_turns),
+k AS (SELECT * FROM w WHERE prefix NOT IN (SELECT prefix FROM p WHERE place < n_turns))
+SELECT k.conv_id, k.n_turns, k.n_equal,
+       string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || replace(coalesce(text, ''), '<|', '< |')
+                  || '<|end|>' || chr(10), '' ORDER BY place) AS text
+FROM k JOIN t ON k.conv_id IS NOT DISTINCT FROM t.conv_id
+GROUP BY k.conv_id, k.n_turns, k.n_equal
+"""
+
+
 def oracle_sql():
-    return {"op3_quality_rules": OP3_SQL, "op7_exact_dedup": OP7_SQL}
+    return {
+        "op1_mixing": OP1_SQL,
+        "op3_quality_rules": OP3_SQL,
+        "op7_exact_dedup": OP7_SQL,
+        "op9_chat": OP9_SQL,
+    }
