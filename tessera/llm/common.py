@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,3 +40,10 @@ def cut(df: DataFrame) -> DataFrame:
     """`df` written to the shared checkpoint folder, its lineage cut."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df: DataFrame) -> DataFrame:
+    """`df` as a Parquet table in the shared checkpoint folder, read back; its lineage is cut."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

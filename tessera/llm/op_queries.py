@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, mixing, pii, quality_rules
+from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pii, quality_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(_read(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(_read(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ def queries():
     return {
         "op1_mixing": op1_mixing,
         "op3_quality_rules": op3_quality_rules,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_pii": op6_pii,
         "op7_exact_dedup": op7_exact_dedup,
         "op9_chat": op9_chat,
