@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pii, quality_rules
+from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pii, quality_rules, recompression
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(_read(spark, sf_dir, "documents"), with_text=False)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_read(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -65,6 +69,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {
         "op1_mixing": op1_mixing,
+        "op2_recompression": op2_recompression,
         "op3_quality_rules": op3_quality_rules,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_pii": op6_pii,
