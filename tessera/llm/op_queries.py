@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pii, quality_rules, recompression
+from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pii, quality_rules, recompression, token_file
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = token_file.new_path(spark)
+    token_file.write(_read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_file.read(spark, path, with_ids=False)
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(_read(spark, sf_dir, "conversations"))
 
@@ -74,6 +82,7 @@ def queries():
         "op5_jaccard_join": op5_jaccard_join,
         "op6_pii": op6_pii,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_token_file": op8_token_file,
         "op9_chat": op9_chat,
     }
 
