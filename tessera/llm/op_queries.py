@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pii, quality_rules, recompression, token_file
+from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pieces, pii, quality_rules, recompression, token_file
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,13 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(_read(spark, sf_dir, "conversations"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode(_read(spark, sf_dir, "documents"), model, with_ids=False)
+
+
 def queries():
     return {
         "op1_mixing": op1_mixing,
@@ -84,6 +91,7 @@ def queries():
         "op7_exact_dedup": op7_exact_dedup,
         "op8_token_file": op8_token_file,
         "op9_chat": op9_chat,
+        "op10_sentencepiece": op10_sentencepiece,
     }
 
 
