@@ -44,7 +44,7 @@ _WORD = r"[^\s\"'(),:;<>\[\]\\@|=]"
 PATTERNS = {
     "email": rf"(?<!{_WORD}){_WORD}++@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+)+",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "secret": r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,128}(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])(?=[a-fA-F]{0,127}[0-9])[0-9a-fA-F]{32,128}(?![0-9A-Za-z])",
     "account": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?![0-9A-Za-z])",
     "card": r"(?<![\d+])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -59,6 +59,14 @@ ANY = "|".join(PATTERNS[k] for k in ("email", "card", "ipv4", "secret", "account
 DEFAULT_KEY = "surrogate key"
 
 
+def _may_match(text: Column) -> Column:
+    """False only where ANY has no match: every alternative needs a digit, an @ or a form of address."""
+    out = text.rlike("[0-9@]")
+    for title in MALE + FEMALE + NEUTRAL:
+        out = out | text.contains(title)
+    return out
+
+
 def _kind(surface: Column) -> Column:
     """The kind of a match of ANY."""
     out = F.when(surface.contains("@"), "email")
@@ -224,8 +232,13 @@ def replace_entities(docs: DataFrame, key: str = DEFAULT_KEY, carry: tuple[str,
     """Each row with its entities replaced: doc_id, text, n_entities (and the columns of `carry` as `carried`)."""
     extra = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
     found = docs.select(
-        "doc_id", "text", *extra, F.coalesce(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), F.array()).alias("found")
-    )
+        "doc_id",
+        "text",
+        *extra,
+        F.when(_may_match(F.col("text")), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+        .otherwise(F.array().cast("array<string>"))
+        .alias("found"),
+    ).withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
     names = ["carried"] if carry else []
     clean = found.filter("size(found) = 0").select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"), *names)
     hit = found.filter("size(found) > 0").withColumn("row_key", F.sha2(F.col("text"), 256))
