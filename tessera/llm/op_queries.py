@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pieces, pii, quality_rules, recompression, token_file
+from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pieces, pii, quality_classifier, quality_rules, recompression, token_file
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return quality_classifier.score(docs, quality_classifier.train(docs, _read(spark, sf_dir, "labels")))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(_read(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ def queries():
         "op1_mixing": op1_mixing,
         "op2_recompression": op2_recompression,
         "op3_quality_rules": op3_quality_rules,
+        "op4_quality_classifier": op4_quality_classifier,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_pii": op6_pii,
         "op7_exact_dedup": op7_exact_dedup,
