@@ -16,8 +16,12 @@ Boundary. The size up to which listing subsets costs less than scanning lists, f
 
 Lists. A task sends each class once. Lists longer than `LONG_LIST` first link their members to one member each
 (another one for each list), which joins large groups of near copies by few pairs. Then every pair of list members
-that can link by size and place and is not yet in one component is verified on the whole sets. Pairs inside a
-component are not needed for the components, so no link between different texts is lost.
+that can link by size and place and is not yet in one component is taken. Pairs inside a component are not needed
+for the components, so no link between different texts is lost.
+
+Verifying. A pair is first tested by sketches: counts of shingles by hash range bound the overlap from above, so no
+link is lost. The whole sets of the classes that remain are made from their texts, and decide. Their ids are
+broadcast up to `BROADCAST_IDS`; more are joined by a shuffle of the texts.
 
 Memory: a task holds one Arrow batch of texts, or one hash bucket of postings (about `BUCKET_POSTINGS`).
 
@@ -52,6 +56,8 @@ SCAN_COST = 8
 MOST_SMALL = 24
 LONG_LIST = 32
 BUCKET_POSTINGS = 1 << 20
+#: Ids of documents that are broadcast at most (8 bytes each).
+BROADCAST_IDS = 1_000_000
 #: Stands for a null doc_id in joins.
 NO_ID = -(1 << 63)
 
@@ -83,6 +89,21 @@ def signature(s: np.ndarray) -> int:
     return int(tokens.mix(tokens.mix(s ^ np.uint64(0xA5A5A5A5)).sum(keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
+def sketch(s: np.ndarray) -> bytes | None:
+    """Counts of shingles in about n / 2 equal hash ranges; None where a count exceeds a byte."""
+    if len(s) < 16:
+        return None
+    counts = np.bincount((s >> np.uint64(64 - (len(s).bit_length() - 2))).astype(np.int64), minlength=1 << (len(s).bit_length() - 2))
+    return None if counts.max() > 255 else counts.astype(np.uint8).tobytes()
+
+
+def overlap_bound(x: bytes, y: bytes) -> int:
+    """No two sets of these sketches share more shingles than this."""
+    a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    return int(np.minimum(short, long.reshape(len(short), -1).sum(1)).sum())
+
+
 def _batches(source, rows: int = 2000):
     for batch in source:
         for i in range(0, batch.num_rows, rows):
@@ -137,26 +158,40 @@ def _measure(percent: int, width: int):
 
         sigs = set()
         for batch in _batches(source):
-            sig, n = [], []
+            sig, n, sketches = [], [], []
             for s in shingle_sets(batch.column(1), width):
                 sig.append(signature(s))
                 n.append(len(s))
+                sketches.append(None)
                 if len(s) and sig[-1] not in sigs:
                     sigs.add(sig[-1])
+                    sketches[-1] = sketch(s)
                     parts.append(s)
                     held += len(s)
             if held > 4_000_000:
                 frequent()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sig, pa.int64()), pa.array(n, pa.int64()), pa.nulls(len(n), pa.int64())],
-                names=["doc_id", "sig", "n", "heavy"],
+                [
+                    batch.column(0),
+                    pa.array(sig, pa.int64()),
+                    pa.array(n, pa.int64()),
+                    pa.nulls(len(n), pa.int64()),
+                    pa.array(sketches, pa.binary()),
+                ],
+                names=["doc_id", "sig", "n", "heavy", "sketch"],
             )
         frequent()
         if seen:
             none = pa.nulls(len(seen), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, pa.array(seen.keys(), pa.int64()), none, pa.array(seen.values(), pa.int64())],
-                names=["doc_id", "sig", "n", "heavy"],
+                [
+                    none,
+                    pa.array(seen.keys(), pa.int64()),
+                    none,
+                    pa.array(seen.values(), pa.int64()),
+                    pa.nulls(len(seen), pa.binary()),
+                ],
+                names=["doc_id", "sig", "n", "heavy", "sketch"],
             )
 
     return run
@@ -265,6 +300,24 @@ def _sets(width: int):
     return run
 
 
+def _possible(percent: int):
+    """Pairs whose sketches (where both have one) leave room for a link."""
+
+    def run(source):
+        for batch in source:
+            a, b, n, m, x, y = (batch.column(i).to_pylist() for i in range(6))
+            kept = [
+                i
+                for i in range(len(a))
+                if x[i] is None or y[i] is None or overlap_bound(x[i], y[i]) >= need(n[i], m[i], percent)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a[i] for i in kept], pa.int64()), pa.array([b[i] for i in kept], pa.int64())], names=["a", "b"]
+            )
+
+    return run
+
+
 def _verify(percent: int):
     def run(source):
         for batch in source:
@@ -295,7 +348,7 @@ def link_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
     """Rows (doc_id, sig, n), classes (sig, n, cid) and links between classes (a, b) that connect each component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = stage_table(
-        docs.mapInArrow(_measure(percent, width), "doc_id long, sig long, n long, heavy long")
+        docs.mapInArrow(_measure(percent, width), "doc_id long, sig long, n long, heavy long, sketch binary")
     )
     rows = measured.filter("heavy IS NULL").select("doc_id", "sig", "n")
     # At most HEAVY shingles and MOST_SMALL counts reach the driver.
@@ -326,19 +379,32 @@ def link_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
     small = live.filter("pos IS NULL").select(F.col("key").alias("a"), F.col("sig").alias("b")).distinct()
     postings = live.filter("pos IS NOT NULL")
 
-    owners = postings.select("sig").distinct().join(classes, "sig").select("sig", F.coalesce("cid", F.lit(NO_ID)).alias("uid"))
-    sets = stage_table(
-        docs.withColumn("uid", F.coalesce("doc_id", F.lit(NO_ID)))
-        .join(owners.select("uid").distinct(), "uid", "left_semi")
-        .select("text")
-        .mapInArrow(_sets(width), "sig long, shingles binary")
-        .dropDuplicates(["sig"])
+    sketches = (
+        measured.filter("heavy IS NULL AND n > 0").groupBy("sig").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     )
 
+    def side(name: str, value: str) -> DataFrame:
+        return sketches.select(F.col("sig").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(value))
+
     def verified(pairs: DataFrame) -> DataFrame:
+        possible = stage_table(
+            pairs.join(side("a", "x"), "a")
+            .join(side("b", "y"), "b")
+            .select("a", "b", "n_a", "n_b", "x", "y")
+            .mapInArrow(_possible(percent), "a long, b long")
+        )
+        sigs = possible.select(F.col("a").alias("sig")).unionByName(possible.select(F.col("b").alias("sig"))).distinct()
+        uids = stage_table(sigs.join(classes, "sig").select(F.coalesce("cid", F.lit(NO_ID)).alias("uid")).distinct())
+        few = uids.count() <= BROADCAST_IDS
+        sets = stage_table(
+            docs.withColumn("uid", F.coalesce("doc_id", F.lit(NO_ID)))
+            .join(F.broadcast(uids) if few else uids, "uid", "left_semi")
+            .select("text")
+            .mapInArrow(_sets(width), "sig long, shingles binary")
+        )
         x = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("sig").alias("b"), F.col("shingles").alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+        return possible.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
 
     # One member of each long list, another one for each list, against all members.
     draw = F.struct(F.xxhash64("key", "sig").alias("h"), "sig", "n", "pos")

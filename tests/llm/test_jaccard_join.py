@@ -75,3 +75,14 @@ def test_subsets_cover_every_linked_pair_of_sizes():
             for m in range(n, n * 100 // 85 + 1):
                 if n <= b and J.need(n, m) <= n:
                     assert J.need(n, m) in J.subset_sizes(n, b) and J.need(n, m) in J.subset_sizes(m, b)
+
+
+def test_sketches_bound_the_overlap():
+    import numpy as np
+
+    r = np.random.default_rng(0)
+    for _ in range(200):
+        pool = r.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)
+        a, b = (np.unique(r.choice(pool, r.integers(16, 250))) for _ in range(2))
+        if len(a) >= 16 and len(b) >= 16:
+            assert J.overlap_bound(J.sketch(a), J.sketch(b)) >= len(np.intersect1d(a, b))
