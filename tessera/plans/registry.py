@@ -2,35 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tessera.plans import base, documents, json_text, matching, relational
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
+MODULES = (relational, json_text, matching, documents)
 
-from tessera.sources.tables import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def richest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Longest document of each (lang, source); the smallest doc_id of equally long ones."""
-    docs = table(spark, sf_dir, "documents")
-    best = docs.groupBy("lang", "source").agg(
-        F.max(F.struct(F.length("text").cast("long").alias("chars"), (-F.col("doc_id")).alias("neg"))).alias("m")
-    )
-    return best.select("lang", "source", F.col("m.chars").alias("chars"), (-F.col("m.neg")).alias("doc_id"))
-
-
-def queries() -> dict[str, Query]:
-    return {"richest_per_key": richest_per_key}
+def queries() -> dict[str, base.Query]:
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "richest_per_key": """
-            SELECT lang, source, chars, doc_id FROM (
-              SELECT lang, source, CAST(length(text) AS BIGINT) AS chars, doc_id,
-                     row_number() OVER (PARTITION BY lang, source ORDER BY length(text) DESC, doc_id) AS rn
-              FROM documents) WHERE rn = 1"""
-    }
+    return dict(base.SQL)
