@@ -5,9 +5,9 @@ symbol, where the side of a symbol is a bit of its name. Names are hashes of wha
 alike without a shared table. Whether symbols join depends on their neighbours only, so equal passages
 are parsed alike inside; the words on which a symbol's parse depends are tracked exactly as its reach.
 
-Reveal. Each window of `width` words takes as its key the longest symbol of the highest level whose reach lies
-inside the window (a single word at worst). The key is a function of the window's words alone, so equal windows have
-equal keys. Documents are dealt into chunks; a chunk sends each of its keys once, a reducer of a range of keys finds
+Reveal. Each window of `width` words takes as its key the longest three symbols in a row, of the highest level, whose
+reach lies inside the window (three words at worst). The key is a function of the window's words alone, so equal
+windows have equal keys. Documents are dealt into chunks; a chunk sends each of its keys once, a reducer of a range of keys finds
 those that occur twice or more and tells the chunks that hold them. A key that every chunk holds costs one
 entry a chunk.
 
@@ -106,6 +106,19 @@ class Level:
         return self._joined(heads, name, low[heads], high[heads])
 
 
+    def triples(self) -> Level:
+        """Each three symbols in a row of one document, named together."""
+        n = len(self.name) - 2
+        if n <= 0:
+            n = 0
+        inside = ~(self.first[1 : n + 1] | self.first[2 : n + 2])
+        a = np.flatnonzero(inside)
+        name = _salted(_salted(self.name[a], 7001) * np.uint64(3) + tokens.mix(self.name[a + 1]) * np.uint64(5) + self.name[a + 2], 7002)
+        low = np.minimum(np.minimum(self.low[a], self.low[a + 1]), self.low[a + 2])
+        high = np.maximum(np.maximum(self.high[a], self.high[a + 1]), self.high[a + 2])
+        return Level(name, self.start[a], self.end[a + 2], low, high, self.first[a], self.last[a + 2])
+
+
 def levels(hashes: np.ndarray, at: np.ndarray, count: int = LEVELS) -> list[Level]:
     """The words and the symbols of `count` further levels."""
     n = len(hashes)
@@ -130,18 +143,25 @@ def valid_windows(at: np.ndarray, width: int) -> np.ndarray:
 
 
 def window_keys(hashes: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """Key and validity of each window: the longest symbol that the window settles, at the highest level that has one."""
+    """Key and validity of each window: the longest three symbols that it settles, at the highest level that has any."""
     ok = valid_windows(at, width)
-    best = np.zeros(len(ok), np.uint64)
+    n = len(ok)
+    best = np.zeros(n, np.uint64)
     if not ok.any():
         return best, ok
     for level in reversed(levels(hashes, at)):
-        slack = width - (level.high - level.low)
-        fit = np.flatnonzero((slack >= 0) & (level.low >= 0) & (level.high <= len(hashes)))
-        length = (level.end - level.start)[fit].astype(np.uint64)
-        rank = (length << np.uint64(56)) | (level.name[fit] >> np.uint64(8))
-        base, slack = level.high[fit] - width, slack[fit]
-        painted = np.zeros(len(ok), np.uint64)
+        rows = level.triples()
+        slack = width - (rows.high - rows.low)
+        # Only windows without a key yet count, from high - width to low.
+        open_before = np.zeros(n + 1, np.int64)
+        np.cumsum(ok & (best == 0), out=open_before[1:])
+        fit = np.flatnonzero((slack >= 0) & (rows.low >= 0) & (rows.high <= len(hashes)))
+        wanted = open_before[np.minimum(rows.low[fit] + 1, n)] > open_before[np.clip(rows.high[fit] - width, 0, n)]
+        fit = fit[wanted]
+        length = (rows.end - rows.start)[fit].astype(np.uint64)
+        rank = (length << np.uint64(56)) | (rows.name[fit] >> np.uint64(8))
+        base, slack = rows.high[fit] - width, slack[fit]
+        painted = np.zeros(n, np.uint64)
         for k in range(width):
             if k:
                 more = slack >= k
@@ -149,7 +169,7 @@ def window_keys(hashes: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tuple
             if not len(rank):
                 break
             to = base + k
-            inside = (to >= 0) & (to < len(ok))
+            inside = (to >= 0) & (to < n)
             np.maximum.at(painted, to[inside], rank[inside])
         best = np.where(best == 0, painted, best)
         if best[ok].all():
