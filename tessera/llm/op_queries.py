@@ -146,6 +146,43 @@ FROM d JOIN g USING (text)
 """
 
 
+OP2_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+win AS (
+  SELECT r, i, sha256(array_to_string(list_slice(w, i, i + {recompression.WIDTH - 1}), ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, CAST(len(w) AS BIGINT) - {recompression.WIDTH - 2})) AS i FROM d)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS c FROM win) WHERE c > 1),
+cov AS (SELECT DISTINCT r, i + k AS j FROM rep, (SELECT unnest(range(0, {recompression.WIDTH})) AS k)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, CAST(len(w) AS BIGINT) + 1)) AS j FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS t FROM words ANTI JOIN cov USING (r, j) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+OP5_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + 3), ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(CAST(len(w) AS BIGINT) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+pairs AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.r <> y.r GROUP BY x.r, y.r),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.r = a JOIN n y ON y.r = b
+  WHERE 100 * c >= {jaccard_join.PERCENT} * (x.n + y.n - c)),
+reach AS (SELECT r, doc_id AS c FROM d UNION SELECT b, c FROM reach JOIN links ON a = r)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (r) JOIN (SELECT r, min(c) AS component_id FROM reach GROUP BY r) USING (r)
+"""
+
 _WEIGHTS = ", ".join(map(str, mixing.WEIGHTS))
 
 
@@ -226,7 +263,9 @@ GROUP BY k.conv_id, k.n_turns, k.n_equal
 def oracle_sql():
     return {
         "op1_mixing": OP1_SQL,
+        "op2_recompression": OP2_SQL,
         "op3_quality_rules": OP3_SQL,
+        "op5_jaccard_join": OP5_SQL,
         "op7_exact_dedup": OP7_SQL,
         "op9_chat": OP9_SQL,
     }
