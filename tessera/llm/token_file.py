@@ -17,6 +17,7 @@ are ignored. Strings of special tokens in a text are ordinary text.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from functools import cache
 
@@ -33,18 +34,23 @@ STEP = 256
 BLOCK_IDS = 1 << 20
 END_ID = 2
 #: Entries that a task remembers of word encodings, in each of two generations.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
+#: Words of more letters seldom come again and are not remembered.
+RARE = 12
 
-_ODD_SPACE = re.compile(r" (?=\s|$)")
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9.,;:!?*$%&#|<>\"'()\n-]*\Z")
+_ODD_SPACE = re.compile(r"\s(?=\s|\Z)")
+_PLAIN = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ0-9.,;:!?*$%&#|<>\"'()-]*\Z")
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
+_MARKS = frozenset(".,;:!?")
 
 
 class Encoder:
     """Encodes texts as the tokenizers library does, remembering the ids of words seen before.
 
-    A byte-level pre-tokenizer always cuts before a space that a non-space follows, so a text is the sequence of
-    its words, each with the space before it. Texts with other white space after a space go to the library whole,
-    and so do words of unusual characters; other words are cut by the pre-tokenizer's pattern and go to the
+    A byte-level pre-tokenizer always cuts before a single space or line feed between other characters (a space
+    belongs to what follows it, a line feed stands alone). So a text is the sequence of its words, each with the space
+    or line feed before it. Texts with two white-space characters in a row, or one at the end, go to the library
+    whole, and so do words of unusual characters; other words are cut by the pre-tokenizer's pattern and go to the
     library's model.
     """
 
@@ -56,7 +62,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.wide = self.library.get_vocab_size() > 1 << 16
-        self.type = np.dtype("<u4" if self.wide else "<u2")
+        self.type, self.code = np.dtype("<u4" if self.wide else "<u2"), "I" if self.wide else "H"
         self.pattern = regex.compile(PATTERN)
         self.model = self.library.model
         # The alphabet that byte-level models spell bytes in: printable bytes stand for themselves.
@@ -64,35 +70,54 @@ class Encoder:
         others = iter(range(256, 512))
         self.spelling = {b: chr(b) if b in set(printable) else chr(next(others)) for b in range(256)}
         assert set(self.spelling.values()) == set(pre_tokenizers.ByteLevel.alphabet())
-        self.words, self.pieces = TwoGenerations(remembered), TwoGenerations(remembered)
+        self.words, self.space = TwoGenerations(remembered), self.spelling[32]
+        self.marks = {m: self._piece(m) for m in (*_MARKS, "\n")}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece) or self.pieces.recall(piece)
-        if known is None:
-            spelled = piece.encode().decode("latin-1").translate(self.spelling)
-            known = np.array([t.id for t in self.model.tokenize(spelled)], self.type).tobytes()
-            self.pieces.keep(piece, known)
-        return known
+        """The ids of a piece that the pre-tokenizer would not cut."""
+        spelled = piece.encode().decode("latin-1").translate(self.spelling)
+        return self._bytes([t.id for t in self.model.tokenize(spelled)])
+
+    def _letters(self, word: str) -> bytes:
+        """The ids of a space and letters; ASCII letters stand for themselves."""
+        if word.isascii():
+            return self._bytes([t.id for t in self.model.tokenize(self.space + word)])
+        return self._piece(" " + word)
 
     def _word(self, word: str) -> bytes:
-        """The ids of a word with a space before it."""
+        """The ids of a word that follows a space, or that begins with the line feed that it follows."""
         known = self.words.recall(word)
-        if known is None:
-            if _PLAIN.match(word):
-                known = b"".join(map(self._piece, self.pattern.findall(" " + word)))
-            else:
-                known = self._whole(" " + word)
-            self.words.keep(word, known)
+        if known is not None:
+            return known
+        if _LETTERS.match(word):
+            known = self._letters(word)
+            if len(word) > RARE:
+                return known
+        elif word[-1] in _MARKS and _LETTERS.match(word, 0, len(word) - 1):
+            stem = word[:-1]
+            known = (self.words.get(stem) or self._word(stem)) + self.marks[word[-1]]
+            if len(word) > RARE:
+                return known
+        elif word[0] == "\n" and _LETTERS.match(word, 1):
+            known = self.marks["\n"] + self._piece(word[1:])
+        elif _PLAIN.match(word):
+            known = b"".join(map(self._piece, self.pattern.findall(word if word[0] == "\n" else " " + word)))
+        else:
+            known = self._whole(word if word[0] == "\n" else " " + word)
+        self.words.keep(word, known)
         return known
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+        return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian integers of self.type."""
         if _ODD_SPACE.search(text):
             return self._whole(text)
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         found = list(map(self.words.get, rest))
         if None in found:
             found = [self._word(w) if f is None else f for w, f in zip(rest, found)]
