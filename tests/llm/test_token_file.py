@@ -1,5 +1,6 @@
 import random
 import zlib
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -24,10 +25,15 @@ TEXTS = [
 ]
 
 
-def ids_of(text):
+@cache
+def library():
     t = Tokenizer.from_file(PATH)
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def ids_of(text):
+    return library().encode(text or "", add_special_tokens=False).ids
 
 
 def test_encoder_equals_the_library():
