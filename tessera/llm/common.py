@@ -47,3 +47,12 @@ def stage_table(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a few bytes that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
+
+
+def if_few(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """`ids` (stored, rows of a few bytes) marked for broadcast where they are few; else left to a shuffle join."""
+    return F.broadcast(ids) if ids.count() <= most else ids

@@ -21,7 +21,7 @@ for the components, so no link between different texts is lost.
 
 Verifying. A pair is first tested by sketches: counts of shingles by hash range bound the overlap from above, so no
 link is lost. The whole sets of the classes that remain are made from their texts, and decide. Their ids are
-broadcast up to `BROADCAST_IDS`; more are joined by a shuffle of the texts.
+broadcast up to `BROADCAST_ROWS`; more are joined by a shuffle of the texts.
 
 Memory: a task holds one Arrow batch of texts, or one hash bucket of postings (about `BUCKET_POSTINGS`).
 
@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens
-from tessera.llm.common import stage_table
+from tessera.llm.common import if_few, stage_table
 from tessera.llm.components import components
 
 WIDTH = 4
@@ -56,8 +56,6 @@ SCAN_COST = 8
 MOST_SMALL = 24
 LONG_LIST = 32
 BUCKET_POSTINGS = 1 << 20
-#: Ids of documents that are broadcast at most (8 bytes each).
-BROADCAST_IDS = 1_000_000
 #: Stands for a null doc_id in joins.
 NO_ID = -(1 << 63)
 
@@ -395,10 +393,9 @@ def link_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
         )
         sigs = possible.select(F.col("a").alias("sig")).unionByName(possible.select(F.col("b").alias("sig"))).distinct()
         uids = stage_table(sigs.join(classes, "sig").select(F.coalesce("cid", F.lit(NO_ID)).alias("uid")).distinct())
-        few = uids.count() <= BROADCAST_IDS
         sets = stage_table(
             docs.withColumn("uid", F.coalesce("doc_id", F.lit(NO_ID)))
-            .join(F.broadcast(uids) if few else uids, "uid", "left_semi")
+            .join(if_few(uids), "uid", "left_semi")
             .select("text")
             .mapInArrow(_sets(width), "sig long, shingles binary")
         )
@@ -464,11 +461,12 @@ def keep_rows(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Da
     joined = join(docs, percent, width).select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("uid"), F.coalesce("component_id", F.lit(NO_ID)).alias("cid"), "n_shingles"
     )
-    stay = joined.filter("uid = cid").select("uid").distinct()
+    stay = stage_table(joined.filter("uid = cid").groupBy("uid").agg(F.count("*").alias("c")))
     keyed = docs.withColumn("uid", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    kept = keyed.join(stay, "uid", "left_semi")
-    repeated = kept.groupBy("uid").count().filter("count > 1").select("uid")
+    several = stay.filter("c > 1").select("uid")
+    if several.isEmpty():
+        return keyed.join(if_few(stay.select("uid")), "uid", "left_semi").select(docs.columns)
+    single = keyed.join(stay.filter("c = 1").select("uid"), "uid", "left_semi")
     one = W.partitionBy("uid").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    single = kept.join(repeated, "uid", "left_anti")
-    several = kept.join(repeated, "uid", "left_semi").withColumn("nth", F.row_number().over(one)).filter("nth = 1")
-    return single.select(docs.columns).unionByName(several.select(docs.columns))
+    repeated = keyed.join(several, "uid", "left_semi").withColumn("nth", F.row_number().over(one)).filter("nth = 1")
+    return single.select(docs.columns).unionByName(repeated.select(docs.columns))

@@ -130,31 +130,22 @@ def verdict(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.array_compact(F.array(*broken))
 
 
-def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Measures and verdict of each row: doc_id, the measures, base_failed, broken_rules, kept.
+def base_failed(m: Column) -> Column:
+    """Too few words, or too many of them in repeated windows."""
+    return (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
 
-    `carry` names columns of `docs` to return beside them (as `carried`, a struct), for use as a filter.
-    """
-    measured = docs.select(
-        F.col("doc_id"),
-        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []),
-        measures(text_of()).alias("m"),
-    )
-    judged = measured.select(
-        "*",
-        ((F.col("m.n_words") < 10) | (100 * F.col("m.n_repeat_words") > 20 * F.col("m.n_words"))).alias("base_failed"),
-        verdict(F.col("m"), rules).alias("broken_rules"),
-    )
-    return judged.select(
-        "doc_id",
-        *(["carried"] if carry else []),
-        "m.*",
-        "base_failed",
-        "broken_rules",
-        (~F.col("base_failed") & (F.size("broken_rules") == 0)).alias("kept"),
+
+def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Measures and verdict of each row: doc_id, the measures, base_failed, broken_rules, kept."""
+    judged = docs.select("doc_id", measures(text_of()).alias("m")).select(
+        "doc_id", "m.*", base_failed(F.col("m")).alias("base_failed"), verdict(F.col("m"), rules).alias("broken_rules")
     )
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
 
 
 def filter_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of `docs` that the rules keep, with all their columns."""
-    return apply_rules(docs, rules, tuple(docs.columns)).filter("kept").select("carried.*")
+    """The rows of `docs` that the rules keep, with all their columns.
+
+    The verdict is one expression that measures the text once, so that the filter can be pushed anywhere.
+    """
+    return docs.filter(let(measures(text_of()), lambda m: ~base_failed(m) & (F.size(verdict(m, rules)) == 0)))
