@@ -102,7 +102,7 @@ def overlap_bound(x: bytes, y: bytes) -> int:
     return int(np.minimum(short, long.reshape(len(short), -1).sum(1)).sum())
 
 
-def _batches(source, rows: int = 2000):
+def _batches(source, rows: int = 1000):
     for batch in source:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
@@ -166,7 +166,7 @@ def _measure(percent: int, width: int):
                     sketches[-1] = sketch(s)
                     parts.append(s)
                     held += len(s)
-            if held > 4_000_000:
+            if held > 2_000_000:
                 frequent()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -240,7 +240,7 @@ def _postings(heavy: np.ndarray, rank: np.ndarray, boundary: int, buckets: int,
                     new = of(s, sig)
                     rows += new
                     held += sum(map(len, new))
-            if held > 2_000_000:
+            if held > 700_000:
                 yield packed(rows)
                 rows, held = [], 0
         if rows:
