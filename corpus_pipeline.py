@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import exact_dedup, jaccard_join, mixing, pieces, quality_rules
 from tessera.llm.common import stage_table
 
+#: Near copies: the share of common shingles (in per cent) and the words of a shingle. op5's values are its own.
+NEAR_PERCENT = 80
+NEAR_WIDTH = 5
+
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break a quality rule go."""
@@ -24,7 +28,7 @@ def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that links join, the one with the least doc_id stays."""
-    return jaccard_join.keep_rows(docs)
+    return jaccard_join.keep_rows(docs, percent=NEAR_PERCENT, width=NEAR_WIDTH)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
