@@ -32,15 +32,22 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, once for each time that the mix takes them; those that it never takes go."""
+    """Documents in training order, once for each time that the mix takes them; those that it never takes go.
+
+    The last document of a source's target is cut to the words that the mix takes of it.
+    """
     return mixing.mix_rows(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's best segmentation into pieces."""
+    return _encoded(docs)
+
+
+def _encoded(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     import public_tokenizers
 
-    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False, carry=carry)
 
 
 STAGES = [
@@ -56,8 +63,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table of documents."""
+    """All stages over the whole table of documents; the result is in training order.
+
+    A stored table may be read in another order, so the order goes through the last two stages as a column.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-2]:
         docs = stage_table(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    docs = stage_table(mixing.mix_rows(docs, order="training_order"))
+    return stage_table(_encoded(docs, carry=("training_order",))).orderBy("training_order").drop("training_order")

@@ -23,6 +23,13 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANKS), "")
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word (n >= 1), as it is written."""
+    parts = F.split(text, "(?<=[\\x20\\x09-\\x0D])(?=[^\\x20\\x09-\\x0D])")
+    lead = text.rlike("^[\\x20\\x09-\\x0D]").cast("int")
+    return F.rtrim(F.array_join(F.slice(parts, F.lit(1), (n + lead).cast("int")), ""), F.lit(" \t\n\x0b\x0c\r"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with `value` computed once however often `body` uses it, also inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

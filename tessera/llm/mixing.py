@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_of, words_of
+from tessera.llm.common import first_words, text_of, words_of
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -171,6 +171,19 @@ def stream(assigned: DataFrame) -> DataFrame:
     )
 
 
-def mix_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` in training order, with all their columns, once for each time that the mix takes them."""
-    return stream(assign(docs, carry=tuple(docs.columns), **options)).select("carried.*")
+def mix_rows(docs: DataFrame, order: str | None = None, **options) -> DataFrame:
+    """The rows of `docs` in training order, with all their columns, once for each time that the mix takes them.
+
+    A take of fewer words than its document has keeps those words only; a column n_chars then counts what is left.
+    `order` names a further column to sort by, which stays right where rows are stored and read in another order.
+    """
+    taken = stream(assign(docs, carry=tuple(docs.columns), **options))
+    is_cut = F.col("words") < F.col("size")
+    text = F.when(is_cut, first_words(F.col("carried")["text"], F.col("words"))).otherwise(F.col("carried")["text"])
+    taken = taken.withColumn("text", text)
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(is_cut, length).otherwise(F.col("carried")["n_chars"])
+    columns = [changed.get(c, F.col("carried")[c]).alias(c) for c in docs.columns]
+    return taken.select(*columns, *([F.struct("position", "source", "doc_id", "pass").alias(order)] if order else []))
