@@ -40,14 +40,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's best segmentation into pieces."""
+    """Each document's best segmentations into pieces, with their ids."""
     return _encoded(docs)
 
 
 def _encoded(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     import public_tokenizers
 
-    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False, carry=carry)
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=carry)
 
 
 STAGES = [
