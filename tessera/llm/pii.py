@@ -8,12 +8,18 @@ an address) share one surrogate, in all documents.
 
 Distinctness: over the distinct entities, candidates that two entities share, or that are themselves an entity of
 the input, are found by grouping and joining; all but the least entity of such a group take their next candidate,
-until none is left. The work follows the distinct entities, and hot ones are aggregated before they are joined.
+until none is left. From the attempt `GROW_FROM` on, candidates of names, addresses, phone and social security numbers
+get longer with each attempt, so that no number of entities uses up their surrogates. IPv4 addresses, card and account
+numbers and secrets keep their length: the least of these spaces has 223 * 2^24 surrogates, and after `MOST_ATTEMPTS`
+an error says which kind has run out. The work follows the distinct entities, and hot ones are aggregated before they
+are joined.
 Only rows with an entity are taken apart and joined again; the others pass through a projection.
 
 Defined results: a null text stays null and an empty one empty, with no entities. Rows are told apart by doc_id
 and text; equal rows get equal results. A name is matched within its script: letters are Latin, Greek or
-Cyrillic; other letters stay as they are. Further columns are ignored, or kept by `carry`.
+Cyrillic; other letters stay as they are. In an e-mail address, a letter of another script or with an accent, and any
+other character beyond ASCII, becomes a letter of its script where `OTHERS` has one, else a Latin one; other digits
+become digits 0 to 9. Further columns are ignored, or kept by `carry`.
 """
 
 from __future__ import annotations
@@ -55,6 +61,11 @@ PATTERNS = {
 #: Back references count over the whole expression; only "card" has a group of its own.
 ANY = "|".join(PATTERNS[k] for k in ("email", "card", "ipv4", "secret", "account", "ssn", "phone", "name"))
 
+#: The attempt from which surrogates grow, by kind; numbers keep their length longer, since theirs is a fixed format.
+GROW_FROM = {"name": 2, "email": 2, "phone": 6, "ssn": 6}
+#: Only kinds of a fixed length can come here, with more entities than most of their surrogates.
+MOST_ATTEMPTS = 200
+
 #: Key of the surrogates; give a secret one in production.
 DEFAULT_KEY = "surrogate key"
 
@@ -111,6 +122,17 @@ _ALPHABETS = (
     "αβγδεζηθικλμνξοπρστυφχψω",
     "абвгдежзиклмнопрстуфхцчшэюя",
 )
+#: Letters for those of their script that `_ALPHABETS` lacks.
+OTHERS = {
+    "Greek": _ALPHABETS[2],
+    "Cyrillic": _ALPHABETS[3],
+    "Han": "的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年得就",
+    "Hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみ",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミ",
+    "Hangul": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호구누두루",
+    "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+}
 
 
 def _like(text: Column, stream: Column, hexadecimal: bool = False) -> Column:
@@ -123,7 +145,11 @@ def _like(text: Column, stream: Column, hexadecimal: bool = False) -> Column:
             out = out.when(c.rlike("[a-f]"), F.substring(F.lit("abcdef"), b % 6 + 1, F.lit(1)))
         for letters in _ALPHABETS:
             out = out.when(F.instr(F.lit(letters), c) > 0, F.substring(F.lit(letters), b % len(letters) + 1, F.lit(1)))
-        return out.otherwise(c)
+        other = F.when(c.rlike(r"\p{N}"), (b % 10).cast("string"))
+        for script, letters in OTHERS.items():
+            other = other.when(c.rlike(rf"\p{{Is{script}}}"), F.substring(F.lit(letters), b % len(letters) + 1, F.lit(1)))
+        other = other.otherwise(F.substring(F.lit(_ALPHABETS[0]), b % 26 + 1, F.lit(1)))
+        return out.when(c.rlike(r"[^\x00-\x7F]"), other).otherwise(c)
 
     at = F.sequence(F.lit(0), F.length(text) - 1)
     return F.when(F.length(text) == 0, text).otherwise(F.array_join(F.transform(at, one), ""))
@@ -145,6 +171,13 @@ def _pick(items: list[str], b: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, items)), b % len(items) + 1)
 
 
+def _more(stream: Column, kind: str, attempt: Column, syllables: list[str]) -> Column:
+    """What a candidate of `kind` grows by: a further syllable for each attempt from GROW_FROM on."""
+    n = F.least(attempt - (GROW_FROM[kind] - 1), F.lit(32))
+    drawn = F.transform(F.sequence(F.lit(1), n), lambda j: _pick(syllables, _byte(F.sha2(stream, 256), j - 1)))
+    return F.when(n > 0, F.array_join(drawn, "")).otherwise("")
+
+
 def candidate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """The surrogate of an entity in its shared form."""
 
@@ -157,7 +190,12 @@ def candidate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
         host = F.substring_index(norm, "@", -1)
         label = F.substring_index(host, ".", 1)
         mail = F.concat(
-            _like(local, s), F.lit("@"), _like(label, F.reverse(s)), F.lit(".example."), F.substring_index(host, ".", -1)
+            _like(local, s),
+            _more(s, "email", attempt, SYLLABLES["latin"]),
+            F.lit("@"),
+            _like(label, F.reverse(s)),
+            F.lit(".example."),
+            F.substring_index(host, ".", -1),
         )
         address = F.concat_ws(".", (_byte(s, F.lit(0)) % 223 + 1).cast("string"), *[_byte(s, F.lit(i)).cast("string") for i in (1, 2, 3)])
         gender, name = F.substring_index(norm, ":", 1), F.substring_index(norm, ":", -1)
@@ -165,18 +203,26 @@ def candidate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
         sex = F.when(gender == "n", coin).otherwise(gender)
         names = []
         for script in SYLLABLES:
-            family = F.initcap(F.concat(*[_pick(SYLLABLES[script], _byte(s, F.lit(i))) for i in (1, 2, 3, 4)]))
+            drawn_four = [_pick(SYLLABLES[script], _byte(s, F.lit(i))) for i in (1, 2, 3, 4)]
+            family = F.initcap(F.concat(*drawn_four, _more(s, "name", attempt, SYLLABLES[script])))
             first = F.when(sex == "m", _pick(FIRST[script, "m"], _byte(s, F.lit(0)))).otherwise(
                 _pick(FIRST[script, "f"], _byte(s, F.lit(0)))
             )
             names.append(F.when(name.contains(" "), F.concat_ws(" ", first, family)).otherwise(family))
         full = F.when(name.rlike(r"\p{IsCyrillic}"), names[1]).otherwise(names[0])
+        digits = [str(d) for d in range(10)]
         return (
             F.when(kind == "email", mail)
             .when(kind == "ipv4", address)
             .when(kind == "secret", _like(norm, s, hexadecimal=True))
             .when(kind == "card", F.concat(body, last))
-            .when(kind == "phone", F.concat(F.substring(norm, 1, 1), F.substring(drawn, F.lit(2), F.length(drawn))))
+            .when(
+                kind == "phone",
+                F.concat(
+                    F.substring(norm, 1, 1), F.substring(drawn, F.lit(2), F.length(drawn)), _more(s, "phone", attempt, digits)
+                ),
+            )
+            .when(kind == "ssn", F.concat(drawn, _more(s, "ssn", attempt, digits)))
             .when(kind == "account", F.concat(F.substring(norm, 1, 2), F.substring(drawn, F.lit(3), F.length(drawn))))
             .when(kind == "name", F.concat_ws(":", gender, full))
             .otherwise(drawn)
@@ -189,7 +235,7 @@ def surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """One surrogate for each distinct (kind, norm), no two alike and none of them an entity itself."""
     known = cut(entities.select("kind", "norm").distinct())
     state = known.select("kind", "norm", F.lit(0).alias("attempt"))
-    while True:
+    for _ in range(MOST_ATTEMPTS):
         state = cut(state.withColumn("surrogate", candidate(key, F.col("kind"), F.col("norm"), F.col("attempt"))))
         shared = (
             state.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min("norm").alias("keeper")).filter("n > 1")
@@ -205,6 +251,8 @@ def surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         if marked.filter("again").isEmpty():
             return state.select("kind", "norm", "surrogate")
         state = marked.select("kind", "norm", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+    kinds = [r.kind for r in marked.filter("again").select("kind").distinct().collect()]
+    raise RuntimeError(f"more entities than surrogates of the same format: {', '.join(sorted(kinds))}")
 
 
 def _written(kind: Column, surface: Column, surrogate: Column) -> Column:
@@ -218,7 +266,13 @@ def _written(kind: Column, surface: Column, surrogate: Column) -> Column:
         )
 
     chars = F.filter(F.split(surface, ""), lambda c: c != "")
-    spaced = F.aggregate(chars, F.struct(F.lit("").alias("t"), F.lit(1).alias("i")), grouped, lambda a: a["t"])
+    rest = F.length(surrogate)
+    spaced = F.aggregate(
+        chars,
+        F.struct(F.lit("").alias("t"), F.lit(1).alias("i")),
+        grouped,
+        lambda a: F.concat(a["t"], F.substring(surrogate, a["i"], rest)),
+    )
     title = F.regexp_extract(surface, rf"^(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? ", 0)
     return (
         F.when(kind.isin("card", "phone", "ssn", "account"), spaced)
