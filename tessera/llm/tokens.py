@@ -1,16 +1,16 @@
-"""Words of many texts at once, as arrays: positions and 64-bit hashes, for use inside tasks."""
+"""Words of many texts at once, as arrays of digests, for use inside tasks."""
 
 from __future__ import annotations
 
-from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Bytes that are hashed together; a longer word widens its own stretch.
-STRETCH = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Words that a worker remembers; with more, it starts afresh.
+REMEMBERED = 400_000
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -22,41 +22,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _doubling(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[0] = 1
-    done = 1
-    while done < n:
-        step = min(done, n - done)
-        out[done : done + step] = out[:step] * np.uint64(pow(base, done, 1 << 64))
-        done += step
-    return out
-
-
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, n of each."""
-    return _doubling(_BASE, n), _doubling(_INVERSE, n)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(10, (n - 1).bit_length())
-    up, down = _powers(size)
-    return up[:n], down[:n]
-
-
-@cache
-def _byte_values(lower: bool) -> np.ndarray:
-    b = np.arange(256, dtype=np.uint64)
-    if lower:
-        b[65:91] += np.uint64(32)
-    return mix(b + np.uint64(0x5851F42D4C957F2D))
-
-
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-
-
 def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and their n + 1 offsets; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -74,40 +39,92 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words, and n + 1 offsets of the texts' words among them."""
-    inside = ~_BLANK[data]
-    first, last = inside.copy(), inside.copy()
-    if len(data):
-        first[1:] &= ~inside[:-1]
-        last[:-1] &= ~inside[1:]
-        cuts = np.unique(offsets[(offsets > 0) & (offsets < len(data))])
-        first[cuts] = inside[cuts]
-        last[cuts - 1] = inside[cuts - 1]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    hashes = np.empty(len(start), np.uint64)
-    values = _byte_values(lower)
-    i = 0
-    while i < len(start):
-        j = max(i + 1, int(np.searchsorted(start, start[i] + STRETCH)))
-        lo, hi = int(start[i]), int(end[j - 1])
-        up, down = powers(hi - lo + 1)
-        sums = np.empty(hi - lo + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(values[data[lo:hi]] * up[: hi - lo], out=sums[1:])
-        s, e = start[i:j] - lo, end[i:j] - lo
-        hashes[i:j] = mix((sums[e] - sums[s]) * down[s])
-        i = j
-    return hashes, np.searchsorted(start, offsets)
-
-
-def windows(hashes: np.ndarray, width: int) -> np.ndarray:
-    """64-bit hashes of each `width` consecutive words, across texts; one for each start."""
-    n = len(hashes) - width + 1
+class _Vocabulary(dict):
+    """Numbers of the words seen, and their 128-bit digests one behind the other."""
+
+    def __init__(self):
+        super().__init__()
+        self.digests = bytearray()
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.digests += blake2b(word, digest_size=16).digest()
+        return n
+
+    def lanes(self, words: list[bytes]) -> np.ndarray:
+        """Two 64-bit lanes of the digest of each word."""
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.digests = bytearray()
+        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(bytes(self.digests), "<u8").reshape(-1, 2)[ids]
+
+
+_VOCABULARY = _Vocabulary()
+
+
+def spelled(array: pa.Array) -> list[bytes]:
+    """The values of a string array without nulls, as bytes."""
+    data, offsets = buffers(array)
+    raw, ends = data.tobytes(), offsets.tolist()
+    return [raw[a:z] for a, z in zip(ends, ends[1:])]
+
+
+def words(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of all words as an array of two 64-bit lanes, and n + 1 offsets of the texts' words among them.
+
+    A word is a run of characters other than the space and U+0009 to U+000D; `lower` makes A-Z small. A digest is
+    the 128-bit BLAKE2 hash of the word's bytes, made once for each distinct word; null counts as empty.
+    """
+    if isinstance(texts, pa.ChunkedArray):
+        texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string())
+    if texts.null_count:
+        texts = texts.fill_null("")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    found = lists.flatten()
+    full = pc.greater(pc.binary_length(found), 0)
+    at = np.zeros(len(found) + 1, np.int64)
+    np.cumsum(full.to_numpy(zero_copy_only=False), out=at[1:])
+    offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))).astype(np.int64)
+    coded = found.filter(full).dictionary_encode()
+    lanes = _VOCABULARY.lanes(spelled(coded.dictionary))
+    return lanes[coded.indices.to_numpy(zero_copy_only=False)], at[offsets]
+
+
+def shingles(lanes: np.ndarray, width: int) -> np.ndarray:
+    """64-bit digests of each `width` consecutive words, across texts; one for each start."""
+    n = len(lanes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    up, down = powers(len(hashes) + 1)
-    sums = np.empty(len(hashes) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(hashes * up[:-1], out=sums[1:])
-    return mix((sums[width:] - sums[:n]) * down[:n])
+    out = np.zeros(n, np.uint64)
+    for k in range(width):
+        out = mix(out ^ lanes[k : k + n, 0]) + lanes[k : k + n, 1]
+    return mix(out)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.empty(n, np.uint64)
+    out[:1] = 1
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        out[done : done + step] = out[:step] * np.uint64(pow(base, done, 1 << 64))
+        done += step
+    return out
+
+
+def windows(lanes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit digests, in two lanes, of each `width` consecutive words, across texts; one for each start.
+
+    A lane is a polynomial of the words' own digests. Its difference for two sequences is a sum of differences of
+    digests by odd factors, of which a width below 64 can cancel some 20 of 64 low bits at most.
+    """
+    n = len(lanes) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    out = []
+    for lane, base in enumerate(_BASES):
+        sums = np.zeros(len(lanes) + 1, np.uint64)
+        np.cumsum(lanes[:, lane] * _powers(base, len(lanes)), out=sums[1:])
+        out.append(mix((sums[width:] - sums[:n]) * _powers(pow(base, -1, 1 << 64), n)))
+    return out[0], out[1]

@@ -86,3 +86,49 @@ def test_sketches_bound_the_overlap():
         a, b = (np.unique(r.choice(pool, r.integers(16, 250))) for _ in range(2))
         if len(a) >= 16 and len(b) >= 16:
             assert J.overlap_bound(J.sketch(a), J.sketch(b)) >= len(np.intersect1d(a, b))
+
+
+@pytest.mark.parametrize("rounds,block", [(0, 8), (2, 8)])
+def test_long_lists_by_stars_and_blocks(spark, monkeypatch, rounds, block):
+    """A group of near copies of which many do not link; each path alone and both together equal all pairs."""
+    for name, value in {"LONG_LIST": 4, "STAR_ROUNDS": rounds, "BLOCK": block}.items():
+        monkeypatch.setattr(J, name, value)
+    r = random.Random(3)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(r.randrange(6)):
+            w[r.randrange(60)] = f"e{r.random()}"
+        rows.append((100 - i, " ".join(w)))
+    got = J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(rows)
+    assert all((x.n_shingles, x.component_id) in want[x.doc_id] for x in got) and len(got) == 60
+    assert len({x.component_id for x in got}) > 3
+
+
+def test_patterned_words_stay_apart(spark):
+    word = "".join("ab"[i.bit_count() % 2] for i in range(1 << 11))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, " ".join([word] * 9)), (2, " ".join([other] * 9)), (3, word), (4, other)]
+    got = {x.doc_id: x.component_id for x in J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_kept_rows_carry_any_columns(spark):
+    schema = "doc_id long, text string, uid string, nth int, row map<string,int>, text_key int"
+    rows = [
+        (1, "a b c d e f", "U1", 7, {"k": 1}, 3),
+        (1, "a b c d e f", "U2", 8, {"k": 2}, 3),
+        (2, "a b c d e f", "U3", 9, None, 3),
+        (None, "other words of a text", "U4", 1, None, 3),
+        (None, "words that link with nothing else", "U5", 2, {"k": 5}, 3),
+        (1, "one id and another text", "U6", 3, None, 3),
+        (None, None, "U7", 4, None, 3),
+        (None, None, "U8", 5, None, 3),
+    ]
+    kept = J.keep_rows(spark.createDataFrame(rows, schema))
+    assert kept.columns == ["doc_id", "text", "uid", "nth", "row", "text_key"]
+    got = {x.uid: x for x in kept.collect()}
+    assert len(got.keys() & {"U1", "U2"}) == 1 and set(got) - {"U1", "U2"} == {"U4", "U5", "U6", "U7", "U8"}
+    assert got["U5"].nth == 2 and got["U5"].row == {"k": 5}

@@ -58,14 +58,49 @@ def test_removal_matches_all_windows(spark, monkeypatch, seed, words, chunk):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in got) == want
 
 
-def test_equal_windows_have_equal_keys():
+def test_symbols_and_windows_of_equal_passages_agree():
+    """Without answers nothing closes; a settled symbol stands wherever its passage does."""
     for seed in range(8):
         texts = [t for _, t in corpus(seed, 60, [2, 3, 10, 100][seed % 4])]
-        hashes, at = tokens.words(*tokens.buffers(pa.array(texts)))
-        keys, ok = R.window_keys(hashes, at)
-        windows = tokens.windows(hashes, R.WIDTH)
-        pairs = np.unique(np.stack([windows[ok], keys[ok]]), axis=1)
-        assert len(np.unique(pairs[0])) == pairs.shape[1] and (pairs[1] > 0).all()
+        chunk = R.Chunk(pa.table({"text": texts}), R.WIDTH, 4)
+        chunk.rise(R.ROUNDS[-1])
+        level, (a, b) = chunk.level, tokens.windows(chunk.lanes, R.WIDTH)
+        inside = np.flatnonzero(level.inside(R.WIDTH, len(chunk.lanes)))
+        held = {}
+        for i in np.flatnonzero(chunk.open).tolist():
+            mine = inside[(level.low[inside] >= i) & (level.high[inside] <= i + R.WIDTH)]
+            symbols = [(int(level.low[s]) - i, int(level.name[s])) for s in mine]
+            assert held.setdefault((int(a[i]), int(b[i])), symbols) == symbols
+
+
+def test_rounds_rule_out_what_occurs_once(spark):
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randrange(500)}" for _ in range(300)) for _ in range(20)]
+    chunk = R.Chunk(pa.table({"text": texts}), R.WIDTH, 4)
+    before = int(chunk.open.sum())
+    for to in R.ROUNDS:
+        sent = R._sent(chunk.rise(to), 0, 4)
+        told = R._shared(R._NAME)(sent).to_pydict()
+        chunk.close(R._told(chunk.level.name[chunk.asked].view(R._NAME), dict(zip(told["bucket"], told["shared"])), 4))
+    assert chunk.open.sum() < before / 20
+
+
+def thue_morse(n):
+    """A word and its complement, which a polynomial modulo 2^64 cannot tell apart."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_patterned_words_stay_apart(spark):
+    one, other = thue_morse(1 << 11)
+    rows = [(1, " ".join([f"x{i}" for i in range(34)] + [one])), (2, " ".join([f"x{i}" for i in range(34)] + [other]))]
+    rows += [(3, " ".join([one] * 20 + [other] * 15)), (4, " ".join([other] * 20 + [one] * 15))]
+    got = R.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.n_removed for r in got] == [0] * 4
+    pattern = thue_morse(64)
+    docs = [" ".join("yes" if c == "a" else "no" for c in p) for p in pattern]
+    both = R.remove_repeats(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in both.collect()) == brute(list(enumerate(docs)), R.WIDTH)
 
 
 def test_nulls_empty_repeats_and_clashing_columns(spark):
