@@ -17,9 +17,9 @@ are ignored. Strings of special tokens in a text are ordinary text.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +35,10 @@ BLOCK_IDS = 1 << 20
 END_ID = 2
 #: Entries that a task remembers of word encodings, in each of two generations.
 REMEMBERED = 600_000
-#: Words of more letters seldom come again and are not remembered.
-RARE = 12
+#: Characters of texts that are encoded together.
+SLICE = 3 << 20
 
 _ODD_SPACE = re.compile(r"\s(?=\s|\Z)")
-_PLAIN = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ0-9.,;:!?*$%&#|<>\"'()-]*\Z")
-_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
-_MARKS = frozenset(".,;:!?")
 
 
 class Encoder:
@@ -50,8 +47,8 @@ class Encoder:
     A byte-level pre-tokenizer always cuts before a single space or line feed between other characters (a space
     belongs to what follows it, a line feed stands alone). So a text is the sequence of its words, each with the space
     or line feed before it. Texts with two white-space characters in a row, or one at the end, go to the library
-    whole, and so do words of unusual characters; other words are cut by the pre-tokenizer's pattern and go to the
-    library's model.
+    whole. The words that a slice of texts shows for the first time are cut by the pre-tokenizer's pattern and go to the
+    library's model in one call; the bytes that ids stand for tell where each word ends.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -61,67 +58,60 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.wide = self.library.get_vocab_size() > 1 << 16
-        self.type, self.code = np.dtype("<u4" if self.wide else "<u2"), "I" if self.wide else "H"
+        size = self.library.get_vocab_size()
+        self.wide = size > 1 << 16
+        self.type = np.dtype("<u4" if self.wide else "<u2")
         self.pattern = regex.compile(PATTERN)
-        self.model = self.library.model
         # The alphabet that byte-level models spell bytes in: printable bytes stand for themselves.
         printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         others = iter(range(256, 512))
-        self.spelling = {b: chr(b) if b in set(printable) else chr(next(others)) for b in range(256)}
-        assert set(self.spelling.values()) == set(pre_tokenizers.ByteLevel.alphabet())
-        self.words, self.space = TwoGenerations(remembered), self.spelling[32]
-        self.marks = {m: self._piece(m) for m in (*_MARKS, "\n")}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def _piece(self, piece: str) -> bytes:
-        """The ids of a piece that the pre-tokenizer would not cut."""
-        spelled = piece.encode().decode("latin-1").translate(self.spelling)
-        return self._bytes([t.id for t in self.model.tokenize(spelled)])
-
-    def _letters(self, word: str) -> bytes:
-        """The ids of a space and letters; ASCII letters stand for themselves."""
-        if word.isascii():
-            return self._bytes([t.id for t in self.model.tokenize(self.space + word)])
-        return self._piece(" " + word)
-
-    def _word(self, word: str) -> bytes:
-        """The ids of a word that follows a space, or that begins with the line feed that it follows."""
-        known = self.words.recall(word)
-        if known is not None:
-            return known
-        if _LETTERS.match(word):
-            known = self._letters(word)
-            if len(word) > RARE:
-                return known
-        elif word[-1] in _MARKS and _LETTERS.match(word, 0, len(word) - 1):
-            stem = word[:-1]
-            known = (self.words.get(stem) or self._word(stem)) + self.marks[word[-1]]
-            if len(word) > RARE:
-                return known
-        elif word[0] == "\n" and _LETTERS.match(word, 1):
-            known = self.marks["\n"] + self._piece(word[1:])
-        elif _PLAIN.match(word):
-            known = b"".join(map(self._piece, self.pattern.findall(word if word[0] == "\n" else " " + word)))
-        else:
-            known = self._whole(word if word[0] == "\n" else " " + word)
-        self.words.keep(word, known)
-        return known
+        spelling = {b: chr(b) if b in set(printable) else chr(next(others)) for b in range(256)}
+        assert set(spelling.values()) == set(pre_tokenizers.ByteLevel.alphabet())
+        # A zero byte stands between pieces; words that hold one go to the library whole.
+        self.spelling = spelling | {0: " "}
+        self.model = Tokenizer(self.library.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.length = np.zeros(size, np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.length[i] = len(token)
+        self.words = TwoGenerations(remembered)
+
+    def _learn(self, words: list[str]) -> None:
+        """Remembers the ids of words, each with the space before it or the line feed that it begins with."""
+        plain = [w for w in words if "\0" not in w]
+        for w in set(words).difference(plain):
+            self.words.keep(w, self._whole(w if w[0] == "\n" else " " + w))
+        if not plain:
+            return
+        text = "".join([w if w[0] == "\n" else " " + w for w in plain])
+        pieces = "\0".join(self.pattern.findall(text)).encode("utf-8").decode("latin-1").translate(self.spelling)
+        ids = np.array(self.model.encode_batch_fast([pieces], add_special_tokens=False)[0].ids, self.type)
+        sizes = np.array([len(w.encode()) + (w[0] != "\n") for w in plain], np.int64)
+        at = np.concatenate(([0], np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(sizes)) + 1)).tolist()
+        raw, size = ids.tobytes(), self.type.itemsize
+        for w, a, z in zip(plain, at, at[1:]):
+            self.words.keep(w, raw[a * size : z * size])
 
     def _whole(self, text: str) -> bytes:
-        return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian integers of self.type."""
+        known = self.words
+        odd = [bool(_ODD_SPACE.search(t)) for t in texts]
+        cut = [None if o else t.replace("\n", " \n").split(" ") for t, o in zip(texts, odd)]
+        # The words of one slice stay remembered until its texts are put together.
+        seen = {w: known.get(w) or known.recall(w) for w in set(chain.from_iterable(c[1:] for c in cut if c))}
+        new = [w for w, ids in seen.items() if ids is None]
+        self._learn(new)
+        seen.update((w, known.get(w) or known.before[w]) for w in new)
+        return [
+            self._whole(t) if c is None else (self._whole(c[0]) if c[0] else b"") + b"".join(map(seen.__getitem__, c[1:]))
+            for t, c in zip(texts, cut)
+        ]
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian integers of self.type."""
-        if _ODD_SPACE.search(text):
-            return self._whole(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        found = list(map(self.words.get, rest))
-        if None in found:
-            found = [self._word(w) if f is None else f for w, f in zip(rest, found)]
-        return (self._whole(first) if first else b"") + b"".join(found)
+        return self.encode_all([text])[0]
 
 
 @cache
@@ -227,13 +217,31 @@ def unpack(payload: bytes, starts: np.ndarray, n_ids: np.ndarray, table: tuple[n
     return out
 
 
+def _slices(texts, chars: int = SLICE):
+    """The texts in lists of about so many characters."""
+    out, held = [], 0
+    for text in texts:
+        out.append(text.as_py())
+        held += len(out[-1])
+        if held >= chars:
+            yield out
+            out, held = [], 0
+    if out:
+        yield out
+
+
 def _encode(path: str, end_id: int):
     def run(source):
         enc = encoder(path)
         end = np.array([end_id], enc.type).tobytes()
         for batch in source:
-            ids = [enc.encode(t) + end for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            lo = 0
+            for texts in _slices(batch.column(1)):
+                ids = [x + end for x in enc.encode_all(texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, len(ids)), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
+                )
+                lo += len(ids)
 
     return run
 
