@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Salt words that may end a name, longest names first within the pattern.
+#: Salt words that may end a name.
 SALTS = (
     "hydrochloride hydrobromide monohydrate dihydrate trihydrate sulfate sulphate phosphate acetate citrate maleate "
     "fumarate tartrate succinate mesylate besylate tosylate nitrate chloride bromide sodium potassium calcium magnesium"
@@ -82,3 +82,79 @@ def cosine(a: Column, b: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
 
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+
+
+def suffix_pattern(suffix: str) -> str:
+    """The regular expression of a trailing suffix: words in any spacing, upper or lower case, singular or plural."""
+    words = r"[\s,/-]+".join(f"\\Q{w}\\E" for w in suffix.split())
+    return rf"(?i)[\s,]+(?:{words})s?\s*$"
+
+
+def strip_form(name: Column, form: Column, patterns: dict[str, str]) -> Column:
+    """The name without its form: an exact ending first, then the pattern that the form is mapped to."""
+    ends = F.lower(name).endswith(F.concat(F.lit(" "), F.lower(form)))
+    out = F.when(ends, F.rtrim(F.substring(name, F.lit(1), F.length(name) - F.length(form) - 1)))
+    for value, suffix in patterns.items():
+        out = out.when(form == value, F.regexp_replace(name, suffix_pattern(suffix), ""))
+    return out.otherwise(name)
+
+
+def variant_suffix(name: Column) -> Column:
+    """A digit and a letter at the end of a name ("2a"), which tell variants apart; empty where there are none."""
+    return F.regexp_extract(F.lower(F.replace(name, F.lit(" "), F.lit(""))), r"(\d[a-z])$", 1)
+
+
+def parenthetical(x: Column) -> Column:
+    """What stands in the first parentheses; null without any."""
+    return F.nullif(F.regexp_extract(x, r"\(([^)]+)\)", 1), F.lit(""))
+
+
+def long_tokens(x: Column, least: int = 6) -> Column:
+    """Tokens between blanks, hyphens and slashes of at least `least` characters."""
+    return F.filter(F.split(x, r"[\s\-/]+"), lambda t: F.length(t) >= least)
+
+
+def list_literal(x: Column) -> Column:
+    """The strings of a list written as a JSON array or with single quotes; any other text is a list of itself."""
+    parsed = F.from_json(x, "array<string>", {"allowSingleQuotes": "true"})
+    return F.when(F.trim(x).startswith("["), F.coalesce(parsed, F.array(x))).otherwise(F.array(x))
+
+
+def name_variants(name: Column, suffixes: list[str]) -> Column:
+    """The name and what it is without each of the suffixes, distinct, in order."""
+    return F.array_distinct(F.array(name, *[F.regexp_replace(name, suffix_pattern(x), "") for x in suffixes]))
+
+
+def grade(a: Column, b: Column) -> Column:
+    """GREEN for names equal up to case, YELLOW where one holds the other, else RED."""
+    x, y = F.lower(F.trim(a)), F.lower(F.trim(b))
+    return F.when(x == y, "GREEN").when(F.contains(x, y) | F.contains(y, x), "YELLOW").otherwise("RED")
+
+
+def arrow_change(x: Column) -> tuple[Column, Column]:
+    """Direction (up, down, same) and percentage of a change written with an arrow."""
+    arrow = F.regexp_extract(x, r"([↑↓↔])", 1)
+    direction = F.when(arrow == "↑", "up").when(arrow == "↓", "down").when(arrow == "↔", "same")
+    return direction, F.nullif(F.regexp_extract(x, r"[↑↓↔]\s*(\d+)%", 1), F.lit("")).cast("int")
+
+
+def timing(x: Column) -> Column:
+    """The class of an administration time, by the first rule that fits."""
+    low = F.lower(x)
+    rules = [("empty stomach", low.rlike("empty stomach|without food")), ("separate", low.rlike(r"\d+ hours? (?:before|after)"))]
+    return first_rule([*rules, ("with food", low.rlike("with (?:food|meals?)"))], "any")
+
+
+def is_header(cells: Column) -> Column:
+    """Whether every cell of a table row is a head of numbers (n, N, %)."""
+    return (F.size(cells) > 0) & F.forall(cells, lambda c: F.trim(c).rlike("^[nN%]+$"))
+
+
+def nearest(x: Column, values: list[float]) -> Column:
+    """The value of a list that lies nearest, the lesser one of two."""
+    return F.array_min(F.transform(F.array(*map(F.lit, values)), lambda v: F.struct(F.abs(v - x).alias("d"), v.alias("v"))))["v"]
+
+
+def token_sort_ratio(a: Column, b: Column) -> Column:
+    """edit_ratio of the sorted words."""
+    return edit_ratio(token_sort(a), token_sort(b))

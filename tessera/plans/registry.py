@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import base, documents, json_text, matching, relational
+from tessera.plans import base, documents, json_text, lookups, matching, records, relational
 
-MODULES = (relational, json_text, matching, documents)
+MODULES = (relational, json_text, matching, documents, lookups, records)
 
 
 def queries() -> dict[str, base.Query]:
