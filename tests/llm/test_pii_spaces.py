@@ -19,7 +19,7 @@ def drawn(spark, kind, norm, attempts=12):
     return [r[0] for r in df.select("attempt", made.alias("made")).orderBy("attempt").select("made").collect()]
 
 
-@pytest.mark.parametrize("kind, norm", [("email", "李@公司.a.cn"), ("email", "_@-.a.com"), ("name", "m:Li"), ("phone", "1234567")])
+@pytest.mark.parametrize("kind, norm", [("email", "李@公司.a.cn"), ("email", "_@-.a.com"), ("family", "Li"), ("given", "m:Li"), ("phone", "1234567")])
 def test_candidates_grow(spark, kind, norm):
     made = drawn(spark, kind, norm)
     assert len(made[-1]) > len(made[0]) and len(set(made[-4:])) == 4
@@ -42,7 +42,7 @@ def test_addresses_that_differ_where_the_surrogate_does_not(spark):
 
 def test_more_entities_than_first_candidates(spark, monkeypatch):
     monkeypatch.setitem(pii.SYLLABLES, "latin", ["ba", "den"])
-    assert len(drawn(spark, "name", "m:Smith")[-1]) > 2 + 4 * 3  # without growth the texts below would never end
+    assert len(drawn(spark, "family", "Smith")[-1]) > 2 + 4 * 3  # without growth the texts below would never end
     names = [f"Mr {a}{b}{c}" for a in "ABCDE" for b in "abcd" for c in "xyz"]
     mails = [f"{a}@{b}.com" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
     got = replaced(spark, [*names, *mails, "+1 23 45 67", "123-45-6789"])
@@ -62,3 +62,36 @@ def test_fixed_formats_end_with_an_error(spark, monkeypatch):
     monkeypatch.setattr(pii, "candidate", lambda key, kind, norm, attempt: F.lit("192.0.2.1"))
     with pytest.raises(RuntimeError, match="ipv4"):
         replaced(spark, ["ip 10.0.0.1", "ip 10.0.0.2"])
+
+
+def test_names_keep_gender_script_and_kinship(spark):
+    texts = ["Mrs Anna Weiss", "Mr Anna Weiss", "Dr Weiss", "Mr Weiss", "Mr John Weiss", "Dr John Weiss", "Señora Ana Lopez", "Señor Ana Lopez"]
+    texts += ["Miss Eva Stein", "Mme Eva Stein", "Mr Παύλος Δέλτας", "Κυρία Ελένη Δέλτας", "Госпожа Анна Петрова", "Ms. Ann Armenian Mr Հակոբ Պետրոսյան"]
+    got = replaced(spark, texts)
+    last = {i: t.split(" ")[-1] for i, t in got.items()}
+    assert len({last[i] for i in range(6)}) == 1 and last[0] != "Weiss" and last[6] == last[7] != last[0]
+    first = {i: got[i].split(" ")[1] for i in (0, 1, 4, 5, 6, 7, 8, 9)}
+
+    def of(i, script, sex):
+        return any(first[i].startswith(x) for x in pii.FIRST[script, sex])
+
+    assert of(0, "latin", "f") and of(1, "latin", "m") and first[0] != first[1] and first[4] == first[5] and of(4, "latin", "m")
+    assert of(6, "latin", "f") and of(7, "latin", "m") and first[8] == first[9]
+    assert re.fullmatch(r"Mr [\u0370-\u03ff]+ [\u0370-\u03ff]+", got[10]) and re.fullmatch(r"Κυρία [\u0370-\u03ff]+ [\u0370-\u03ff]+", got[11])
+    assert last[10] == last[11] and re.fullmatch("Госпожа [а-яА-Я]+ [а-яА-Я]+", got[12])
+    assert not any(x in t for t in got.values() for x in ("Weiss", "Lopez", "Stein", "Δέλτας", "Петрова", "Armenian", "Պետրոսյան"))
+
+
+def test_many_family_names_stay_distinct(spark):
+    n = 70_000
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("Herr Q"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"))
+    out = pii.replace_entities(rows)
+    assert out.agg(F.countDistinct("text")).first()[0] == n
+    assert out.join(rows, "text").isEmpty()
+
+
+def test_a_long_address_and_a_random_key(spark):
+    text = "x" * 200_000 + "@mail.example.com"
+    got = replaced(spark, [text])
+    assert len(got[0]) == 200_000 + len(got[0]) - got[0].index("@") and got[0] != text
+    assert spark.conf.get(pii.KEY_SETTING) and replaced(spark, ["ip 10.0.0.1"]) == replaced(spark, ["ip 10.0.0.1"])
