@@ -6,14 +6,15 @@ every prefix, in two 64-bit lanes. A conversation whose whole hash is among the
 removed by an anti-join, on (length, hash); the prefixes are made distinct first, so a first turn that many
 conversations share is one row. Of equal conversations the smallest conv_id stays. The rest is rendered.
 
-Defined results: rows without conv_id form one conversation. Turns are ordered by turn (null first), then by
-digest. A null role renders as "unknown", a null text as empty. "<|" inside a text is written "< |", so that no
-text can forge a turn mark. An empty table gives an empty result; further columns are ignored.
+Defined results: a row without conv_id is a conversation of its own, so that such rows never meet in one group. Turns
+are ordered by turn (null first), then by digest. A null role renders as "unknown", a null text as empty. "<|" inside a
+text or role is written "< |", and "|>" and line feeds inside a role "| >" and a space, so that neither can forge a turn
+mark. An empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,42 +36,61 @@ def _ordered(turns: DataFrame) -> DataFrame:
     return turns.withColumn("place", F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "digest")))
 
 
-def maximal(conversations: DataFrame) -> DataFrame:
-    """The conversations that stay: conv_id, n_turns, n_equal (equal conversations, itself included)."""
-    lanes = [F.xxhash64(F.lit(lane), F.col("place"), F.col("digest")) for lane in (1, 2)]
+def _lanes() -> list[Column]:
+    return [F.xxhash64(F.lit(lane), F.col("place"), F.col("digest")) for lane in (1, 2)]
+
+
+def _single(turns: DataFrame) -> DataFrame:
+    """Turns without conv_id, each a conversation of one turn."""
+    alone = turns.filter("conv_id IS NULL").withColumn("place", F.lit(1))
+    return alone.select("*", *[x.alias(f"h{i}") for i, x in enumerate(_lanes())])
+
+
+def _maximal(conversations: DataFrame) -> DataFrame:
     sofar = W.partitionBy("conv_id").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
-    hashed = _ordered(_turns(conversations).select("conv_id", "turn", "digest")).select(
+    turns = _turns(conversations).select("conv_id", "turn", "digest")
+    hashed = _ordered(turns.filter("conv_id IS NOT NULL")).select(
         "conv_id",
         "place",
         F.count("*").over(W.partitionBy("conv_id")).alias("n_turns"),
-        *[F.bit_xor(x).over(sofar).alias(f"h{i}") for i, x in enumerate(lanes)],
+        *[F.bit_xor(x).over(sofar).alias(f"h{i}") for i, x in enumerate(_lanes())],
     )
     key = ["place", "h0", "h1"]
+    single = _single(turns).select("conv_id", *key)
     whole = (
         hashed.filter("place = n_turns")
+        .select("conv_id", *key)
+        .unionByName(single)
         .groupBy(*key)
         .agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_equal"))
     )
     prefixes = hashed.filter("place < n_turns").select(*key).distinct()
-    return whole.join(prefixes, key, "left_anti").select(
-        "conv_id", F.col("place").cast("long").alias("n_turns"), "n_equal"
-    )
+    return whole.join(prefixes, key, "left_anti")
+
+
+def maximal(conversations: DataFrame) -> DataFrame:
+    """The conversations that stay: conv_id, n_turns, n_equal (equal conversations, itself included)."""
+    return _maximal(conversations).select("conv_id", F.col("place").cast("long").alias("n_turns"), "n_equal")
+
+
+def _turn_text() -> Column:
+    role = F.replace(F.coalesce("role", F.lit("unknown")), F.lit("<|"), F.lit("< |"))
+    role = F.translate(F.replace(role, F.lit("|>"), F.lit("| >")), "\n", " ")
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |"))
+    return F.concat(F.lit("<|"), role, F.lit("|>\n"), text, F.lit("<|end|>\n"))
 
 
 def render(conversations: DataFrame) -> DataFrame:
     """The maximal conversations as one text each: conv_id, n_turns, n_equal, text."""
-    keep = maximal(conversations).withColumnRenamed("conv_id", "kept_id")
-    turn = F.concat(
-        F.lit("<|"),
-        F.coalesce("role", F.lit("unknown")),
-        F.lit("|>\n"),
-        F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")),
-        F.lit("<|end|>\n"),
-    )
-    return (
-        _ordered(_turns(conversations))
-        .join(keep, F.col("conv_id").eqNullSafe(F.col("kept_id")))
+    keep = _maximal(conversations).select(F.col("conv_id").alias("kept_id"), F.col("place").cast("long").alias("n_turns"), "n_equal", "h0", "h1")
+    turns = _turns(conversations)
+    shown = (
+        _ordered(turns.filter("conv_id IS NOT NULL"))
+        .join(keep.filter("kept_id IS NOT NULL").drop("h0", "h1"), F.col("conv_id") == F.col("kept_id"))
         .groupBy("conv_id", "n_turns", "n_equal")
-        .agg(F.sort_array(F.collect_list(F.struct("place", turn.alias("t")))).alias("turns"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", _turn_text().alias("t")))).alias("turns"))
         .select("conv_id", "n_turns", "n_equal", F.array_join(F.transform("turns", lambda x: x["t"]), "").alias("text"))
     )
+    single = _single(turns).groupBy("conv_id", "h0", "h1").agg(F.min(_turn_text()).alias("text"))
+    alone = single.join(keep.filter("kept_id IS NULL"), ["h0", "h1"]).select("conv_id", "n_turns", "n_equal", "text")
+    return shown.unionByName(alone)

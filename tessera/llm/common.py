@@ -36,10 +36,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a new temporary one only where none is set (local tests)."""
+    """The shared folder of spark.checkpoint.dir. Where none is set, a local session takes a new temporary one; on a
+    cluster that is an error, since its machines share no temporary folder."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ckpt-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-ckpt-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 

@@ -71,16 +71,23 @@ def mark(docs: DataFrame, salts: int = SALTS, digest: Callable[[Column], Column]
 def keep_rows(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: for each text the row with the largest doc_id.
 
-    The same three stages, carrying the winning row (the greatest by doc_id, then by its other columns) along.
+    The same three stages, carrying the winning row (the greatest doc_id, then the greatest hash of its other columns,
+    which may be of any type) along.
     """
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    row = F.struct(F.col("doc_id"), *[F.col(f"`{c}`") for c in others], F.col("text").isNull().alias("no text"))
-    packed = docs.select(text_of().alias("text"), row.alias("row")).withColumn("digest", sha256(F.col("text")))
+    others = [c for c in docs.columns if c != "text"]
+    row = F.struct(*[F.col(f"`{c}`") for c in others])
+    packed = docs.select(
+        text_of().alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.struct(row.alias("row"), F.col("text").isNull().alias("none")).alias("whole"),
+        F.sha2(F.to_json(row), 256).alias("tie"),
+    ).select("text", "whole", F.struct("doc_id", "tie").alias("rank"), sha256(F.col("text")).alias("digest"))
+    winner = F.max_by("whole", "rank").alias("whole")
     salted = (
-        packed.withColumn("salt", F.pmod(F.xxhash64("row.doc_id"), F.lit(salts)))
+        packed.withColumn("salt", F.pmod(F.xxhash64("rank.doc_id"), F.lit(salts)))
         .groupBy("digest", "salt", "text")
-        .agg(F.max("row").alias("row"))
+        .agg(F.max("rank").alias("rank"), winner)
     )
-    won = salted.groupBy("digest", "text").agg(F.max("row").alias("row"))
-    text = F.when(~F.col("row.no text"), F.col("text")).alias("text")
-    return won.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+    kept = salted.groupBy("digest", "text").agg(winner)
+    text = F.when(~F.col("whole.none"), F.col("text")).alias("text")
+    return kept.select(*[text if c == "text" else F.col("whole.row")[c].alias(c) for c in docs.columns])

@@ -100,7 +100,9 @@ def assign(
 
     takes: at most `max_repeats` structs (pass, position, words). `carry` names columns to return as `carried`.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # Rows without doc_id are spread by their texts.
+    own = F.coalesce(F.col("doc_id").cast("string"), F.md5(text_of()))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), own))
     rows = docs.select(
         F.col("doc_id"),
         F.col("source"),

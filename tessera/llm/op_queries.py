@@ -207,7 +207,7 @@ _FIRST = " ".join(
 
 OP1_SQL = f"""
 WITH d AS (
-  SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+  SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS key,
          CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
                               lambda x: x <> '')) AS BIGINT) AS size
   FROM documents),
@@ -243,20 +243,21 @@ FROM p
 """
 
 OP9_SQL = """
-WITH t AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place,
-         count(*) OVER (PARTITION BY conv_id) AS n_turns
-  FROM (SELECT *, md5(coalesce(role, chr(0)) || chr(1) || coalesce(text, chr(0))) AS digest FROM conversations)),
+WITH c AS (SELECT *, CASE WHEN conv_id IS NULL THEN 'row' || row_number() OVER () ELSE 'conv' || conv_id END AS c FROM conversations),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) AS place,
+         count(*) OVER (PARTITION BY c) AS n_turns
+  FROM (SELECT *, md5(coalesce(role, chr(0)) || chr(1) || coalesce(text, chr(0))) AS digest FROM c)),
 p AS (
-  SELECT conv_id, place, n_turns, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY place) AS prefix FROM t),
-w AS (SELECT prefix, n_turns, min(conv_id) AS conv_id, count(*) AS n_equal
+  SELECT c, conv_id, place, n_turns, string_agg(digest, '') OVER (PARTITION BY c ORDER BY place) AS prefix FROM t),
+w AS (SELECT prefix, n_turns, coalesce(arg_min(c, conv_id), min(c)) AS c, count(*) AS n_equal
       FROM p WHERE place = n_turns GROUP BY prefix, n_turns),
 k AS (SELECT * FROM w WHERE prefix NOT IN (SELECT prefix FROM p WHERE place < n_turns))
-SELECT k.conv_id, k.n_turns, k.n_equal,
-       string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || replace(coalesce(text, ''), '<|', '< |')
-                  || '<|end|>' || chr(10), '' ORDER BY place) AS text
-FROM k JOIN t ON k.conv_id IS NOT DISTINCT FROM t.conv_id
-GROUP BY k.conv_id, k.n_turns, k.n_equal
+SELECT t.conv_id, k.n_turns, k.n_equal,
+       string_agg('<|' || translate(replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >'), chr(10), ' ')
+                  || '|>' || chr(10) || replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY place) AS text
+FROM k JOIN t ON k.c = t.c
+GROUP BY k.c, t.conv_id, k.n_turns, k.n_equal
 """
 
 

@@ -6,7 +6,8 @@ is its indicators times r, scaled to length 1. A linear hinge-loss model (square
 balance the classes) is fitted by dual coordinate descent.
 
 The fit takes at most `SAMPLE` labelled rows of each class, drawn by a hash of doc_id (the least hashes first), so
-neither driver nor model grows with the input; the model is one vector of 2^BITS numbers. Every row is scored on
+neither driver nor model grows with the input: each drawn doc_id gives one text (the least of several), and those longer
+than `SAMPLE_TEXT` bytes are not learnt from, so at most 2 * SAMPLE * SAMPLE_TEXT bytes are collected. The model is one vector of 2^BITS numbers. Every row is scored on
 its whole text, one by one: score = 1 / (1 + exp(-SHARPNESS * margin)).
 
 Defined results: a null text counts as empty and is scored by the bias alone, as are texts shorter than NGRAM bytes.
@@ -28,6 +29,8 @@ from tessera.llm.common import text_of
 NGRAM = 3
 BITS = 18
 SAMPLE = 3000
+#: Bytes of the longest text that is learnt from; every text is scored whole.
+SAMPLE_TEXT = 1 << 14
 PENALTY = 1.0
 EPOCHS = 30
 SHARPNESS = 2.0
@@ -122,7 +125,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         drawn = part if drawn is None else drawn.unionByName(part)
     rows = (
         docs.select("doc_id", text_of().alias("text"))
+        .filter(F.octet_length("text") <= SAMPLE_TEXT)
         .join(F.broadcast(drawn), "doc_id")
+        .groupBy("doc_id", "draw", "y")
+        .agg(F.min("text").alias("text"))
         .orderBy("draw", "doc_id", "text")
         .select("text", "y")
         .toArrow()

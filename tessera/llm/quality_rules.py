@@ -56,20 +56,22 @@ RULES = (
 def _repeat_words(words: Column) -> Column:
     """Words covered by windows of WINDOW words that occur twice or more among `words`.
 
-    Windows are compared as strings; words hold no spaces, so joining them by spaces is exact. Only texts in
-    which some window repeats are sorted.
+    Windows are held as hashes; only in texts in which some hash repeats they are sorted, and neighbours of equal hash
+    are compared word by word.
     """
 
-    def covered(windows: Column) -> Column:
-        ordered = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    def at(i: Column) -> Column:
+        return F.slice(words, i, WINDOW)
+
+    def covered(hashes: Column) -> Column:
+        ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i"))))
 
         def starts(z: Column) -> Column:
-            last = F.size(z) - 1
-            hit = F.filter(
-                F.sequence(F.lit(0), last),
-                lambda k: F.coalesce(F.get(z, k)["w"] == F.get(z, k - 1)["w"], F.lit(False))
-                | F.coalesce(F.get(z, k)["w"] == F.get(z, k + 1)["w"], F.lit(False)),
-            )
+            def same(k: Column, j: Column) -> Column:
+                x, y = F.get(z, k), F.get(z, j)
+                return F.when(F.coalesce(x["h"] == y["h"], F.lit(False)), at(x["i"]) == at(y["i"])).otherwise(F.lit(False))
+
+            hit = F.filter(F.sequence(F.lit(0), F.size(z) - 1), lambda k: same(k, k - 1) | same(k, k + 1))
             return F.sort_array(F.transform(hit, lambda k: F.get(z, k)["i"]))
 
         zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
@@ -82,15 +84,12 @@ def _repeat_words(words: Column) -> Column:
             lambda acc: acc["n"],
         )
 
-    def count(windows: Column) -> Column:
-        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(
-            covered(windows)
-        )
+    def count(hashes: Column) -> Column:
+        none = F.size(F.array_distinct(hashes)) == F.size(hashes)
+        return F.when(none, F.lit(0).cast("long")).otherwise(covered(hashes))
 
-    windows = F.transform(
-        F.sequence(F.lit(1), F.size(words) - WINDOW + 1), lambda i: F.array_join(F.slice(words, i, WINDOW), " ")
-    )
-    return F.when(F.size(words) < WINDOW, F.lit(0).cast("long")).otherwise(let(windows, count))
+    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - WINDOW + 1), lambda i: F.xxhash64(at(i)))
+    return F.when(F.size(words) < WINDOW, F.lit(0).cast("long")).otherwise(let(hashes, count))
 
 
 def _removed(text: Column, chars: str) -> Column:
