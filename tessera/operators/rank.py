@@ -28,5 +28,5 @@ def first_tier(candidates: DataFrame, key: str, tier: str, order: list[Column],
 def vote(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """The most frequent value of each key, the least of equally frequent ones, with its count as `votes`."""
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("votes"))
-    best = counted.groupBy(*keys).agg(F.max("votes").alias("votes"))
-    return counted.join(best, [*keys, "votes"]).groupBy(*keys, "votes").agg(F.min(value).alias(value))
+    best = counted.groupBy(*keys).agg(F.min(F.struct((-F.col("votes")).alias("less"), F.col(value).alias("value"))).alias("best"))
+    return best.select(*keys, (-F.col("best.less")).alias("votes"), F.col("best.value").alias(value))

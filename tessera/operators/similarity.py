@@ -11,16 +11,23 @@ from tessera.functions.text import trigrams
 def trigram_join(left: DataFrame, right: DataFrame, a: str, b: str, at_least: float) -> DataFrame:
     """Pairs of values of trigram similarity (shared over all) of at least `at_least` (above 0): a, b, similarity.
 
-    Values are distinct first; any similarity above 0 needs a common trigram, so the join on trigrams is complete.
+    Values are distinct first. Trigrams are ordered by hash; of two values as similar as that, the first
+    n - ceil(n * at_least) + 1 trigrams share one, so only those are joined, and sizes that cannot meet are left out.
     """
-    x = left.select(F.col(a).alias("a")).distinct().withColumn("ga", trigrams(F.col("a")))
-    y = right.select(F.col(b).alias("b")).distinct().withColumn("gb", trigrams(F.col("b")))
-    x = x.select("a", F.size("ga").alias("na"), F.explode("ga").alias("g"))
-    y = y.select("b", F.size("gb").alias("nb"), F.explode("gb").alias("g"))
-    shared = x.join(y, "g").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("n"))
-    return shared.select("a", "b", (F.col("n") / (F.col("na") + F.col("nb") - F.col("n"))).alias("similarity")).filter(
-        F.col("similarity") >= at_least
-    )
+
+    def side(df: DataFrame, column: str, name: str) -> DataFrame:
+        grams = F.array_sort(F.transform(trigrams(F.col(name)), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
+        rows = df.select(F.col(column).alias(name)).distinct().select(F.col(name), grams.alias("s"))
+        n = F.size("s")
+        rows = rows.filter(n > 0).select(name, n.alias(f"n{name}"), F.transform("s", lambda x: x["g"]).alias(f"g{name}"))
+        n = F.col(f"n{name}")
+        first = (n - F.ceil(n * at_least - 1e-9) + 1).cast("int")
+        return rows.select("*", F.explode(F.slice(f"g{name}", F.lit(1), first)).alias("g"))
+
+    fits = F.least("na", "nb") >= F.greatest("na", "nb") * at_least - 1e-9
+    pairs = side(left, a, "a").join(side(right, b, "b"), "g").filter(fits).drop("g").dropDuplicates(["a", "b"])
+    n = F.size(F.array_intersect("ga", "gb"))
+    return pairs.select("a", "b", (n / (F.col("na") + F.col("nb") - n)).alias("similarity")).filter(F.col("similarity") >= at_least)
 
 
 def _blocks(x: Column, most: int, q: int) -> Column:

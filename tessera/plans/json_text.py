@@ -62,10 +62,10 @@ def sibling_json_fill(spark, sf_dir):
 
 @query("""
 SELECT token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (
-  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS token FROM documents) WHERE length(token) >= 12 GROUP BY token""")
+  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS token FROM documents) WHERE token <> '' GROUP BY token""")
 def explode_tokens(spark, sf_dir):
-    """Counts of long tokens; repeats within a document are counted before the shuffle."""
-    tokens = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda t: F.length(t) >= 12)
+    """Counts of tokens; repeats within a document are counted before the shuffle."""
+    tokens = F.array_remove(F.split(F.lower("text"), "[^a-z]+"), "")
     rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(tokens).alias("token"))
     per = rows.groupBy("token", "doc_id").agg(F.count("*").alias("c"))
     return per.groupBy("token").agg(F.sum("c").alias("n"), F.count("*").alias("docs"))
@@ -94,10 +94,10 @@ def array_contains_join(spark, sf_dir):
 
 @query("""
 SELECT array_to_string(types, ',') AS types, count(*) AS users FROM (
-  SELECT user_id, list_sort(list(DISTINCT event_type))[1:3] AS types FROM events WHERE value > 40 GROUP BY user_id) GROUP BY types""")
+  SELECT user_id, list_sort(list(DISTINCT event_type))[1:3] AS types FROM events GROUP BY user_id) GROUP BY types""")
 def array_group_slice(spark, sf_dir):
     """Grouping by the first three of a sorted array."""
-    per = table(spark, sf_dir, "events").filter("value > 40").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("t"))
+    per = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("t"))
     types = F.array_join(F.slice("t", 1, 3), ",")
     return per.groupBy(types.alias("types")).agg(F.count("*").alias("users"))
 
@@ -150,9 +150,9 @@ def session_counts(spark, sf_dir):
 
 
 @query("""
-WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_type IN ('error', 'purchase') GROUP BY user_id, event_type)
+WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type)
 SELECT user_id, event_type, n FROM (SELECT *, min(n) OVER (PARTITION BY user_id) AS m FROM c) WHERE n = m""")
 def first_tier_rows(spark, sf_dir):
     """All rows of each key's first tier."""
-    counts = table(spark, sf_dir, "events").filter("event_type IN ('error', 'purchase')").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    counts = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     return rank.first_tier(counts, "user_id", "n", [F.col("event_type")])
