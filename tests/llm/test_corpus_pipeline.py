@@ -112,7 +112,14 @@ def test_mixing(spark, docs):
         quota, start = int(target[k] + 0.5), 0
         for r in sorted(by[k], key=lambda r: hashlib.md5(f"mix:{r[0]}".encode()).hexdigest()):
             n = size[r[0]]
-            want[r] += sum(p * total[k] + start < quota for p in range(3)) if n else 0
+            for p in range(3) if n else ():
+                words = min(n, quota - p * total[k] - start)
+                if words == n:
+                    want[r] += 1
+                elif words > 0:
+                    # The take in which the quota ends holds the words that are taken, as they are written.
+                    text = r[1][: [m.end() for m in re.finditer("[^\x20\x09-\x0d]+", r[1])][words - 1]]
+                    want[(r[0], text, *r[2:4], len(text))] += 1
             start += n
     out = stage("mixing")(spark, docs, "")
     assert out.columns == docs.columns
