@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,3 +33,16 @@ def vote(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("votes"))
     best = counted.groupBy(*keys).agg(F.min(F.struct((-F.col("votes")).alias("less"), F.col(value).alias("value"))).alias("best"))
     return best.select(*keys, (-F.col("best.less")).alias("votes"), F.col("best.value").alias(value))
+
+
+def most_specific(rules: list[tuple[int, list[Column]]]) -> Column:
+    """The rule with the most conditions of those that hold in full, the least of equals, as (less, rule), which sorts
+    the better rule first; null without any.
+
+    A short fixed list of rules is tried within the row, with neither a join nor a shuffle.
+    """
+    tried = [
+        F.when(reduce(and_, conditions, F.lit(True)), F.struct(F.lit(-len(conditions)).alias("less"), F.lit(rule).alias("rule")))
+        for rule, conditions in rules
+    ]
+    return F.array_min(F.array(*tried))

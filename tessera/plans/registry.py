@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import base, documents, json_text, lookups, matching, records, relational
+from tessera.plans import base, documents, json_text, lookups, matching, records, relational, unify
 
-MODULES = (relational, json_text, matching, documents, lookups, records)
+MODULES = (relational, json_text, matching, documents, lookups, records, unify)
 
 
 def queries() -> dict[str, base.Query]:

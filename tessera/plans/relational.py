@@ -128,21 +128,14 @@ def scalar_subq_report(spark, sf_dir):
     return out
 
 
-_EDGES = "e AS (SELECT DISTINCT c_nationkey AS a, s_nationkey AS b FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey WHERE o_totalprice > 499000)"
-
-
-@query(f"WITH {_EDGES} SELECT a, b FROM e WHERE NOT EXISTS (SELECT 1 FROM e f WHERE f.a = e.b AND f.b = e.a)")
+@query("""
+WITH e AS (SELECT DISTINCT o_custkey AS a, l_suppkey AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+SELECT a, count(*) AS one_way FROM e WHERE NOT EXISTS (SELECT 1 FROM e f WHERE f.a = e.b AND f.b = e.a) GROUP BY a""")
 def mirror_edges(spark, sf_dir):
-    """Trade edges between nations whose reverse is missing."""
-    orders = table(spark, sf_dir, "orders").filter("o_totalprice > 499000")
-    edges = (
-        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
-        .select(F.col("c_nationkey").alias("a"), F.col("s_nationkey").alias("b"))
-        .distinct()
-    )
-    return graph.mirror_gaps(edges)
+    """Edges from customers to suppliers whose reverse is missing, counted by their source."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    edges = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
+    return graph.mirror_gaps(edges).groupBy("a").agg(F.count("*").alias("one_way"))
 
 
 @query("""
@@ -362,37 +355,37 @@ def run_diff(spark, sf_dir):
     return merge.diff_runs(*runs, ["o_custkey"], "s")
 
 
+#: Suppliers, the parts that they ship and the orders that they ship for; parts and orders have few suppliers each.
 _GRAPH = """
-WITH e AS (SELECT DISTINCT l_suppkey AS src, p_brand AS dst, 'brand' AS type FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity >= 49
-  UNION SELECT DISTINCT l_suppkey, p_type, 'type' FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_discount >= 0.1 AND l_quantity >= 45)"""
+WITH e AS (SELECT DISTINCT l_suppkey AS src, l_partkey AS dst, 'part' AS type FROM lineitem UNION ALL SELECT DISTINCT l_suppkey, l_orderkey, 'order' FROM lineitem)"""
 
 
 def _edges(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
-    brand = lines.filter("l_quantity >= 49").select(F.col("l_suppkey").alias("src"), F.col("p_brand").alias("dst"), F.lit("brand").alias("type"))
-    kind = lines.filter("l_discount >= 0.1 AND l_quantity >= 45").select(F.col("l_suppkey").alias("src"), F.col("p_type").alias("dst"), F.lit("type").alias("type"))
-    return brand.unionByName(kind).distinct()
+    lines = table(spark, sf_dir, "lineitem")
+    both = lines.selectExpr("stack(2, l_suppkey, l_partkey, 'part', l_suppkey, l_orderkey, 'order') AS (src, dst, type)")
+    return both.distinct()
 
 
 @query(_GRAPH + """
-SELECT x.src AS a, y.src AS b, count(*) AS paths FROM e x JOIN e y ON x.dst = y.dst AND x.type = 'brand' AND y.type = 'brand' AND x.src <> y.src GROUP BY ALL""")
+SELECT x.src AS a, y.src AS b, count(*) AS paths FROM e x JOIN e y ON x.dst = y.dst AND x.type = 'part' AND y.type = 'part' AND x.src <> y.src GROUP BY ALL""")
 def graph_two_hop(spark, sf_dir):
-    """Suppliers that meet in a brand."""
-    return graph.two_hop(_edges(spark, sf_dir), "brand", "brand")
+    """Suppliers that meet in a part, with the count of parts."""
+    return graph.two_hop(_edges(spark, sf_dir), "part", "part")
 
 
 @query(_GRAPH + """
-SELECT DISTINCT x.src AS a, y.src AS b FROM e x JOIN e y ON x.dst = y.dst AND x.type = 'brand' AND y.type = 'brand' AND x.src <> y.src
-WHERE EXISTS (SELECT 1 FROM e u JOIN e v ON u.dst = v.dst AND u.type = 'type' AND v.type = 'type' WHERE u.src = x.src AND v.src = y.src)""")
+SELECT DISTINCT x.src AS a, y.src AS b FROM e x JOIN e y ON x.dst = y.dst AND x.type = 'order' AND y.type = 'order' AND x.src <> y.src
+SEMI JOIN (SELECT DISTINCT u.src AS p, v.src AS q FROM e u JOIN e v ON u.dst = v.dst AND u.type = 'part' AND v.type = 'part') t ON p = x.src AND q = y.src""")
 def graph_alternatives(spark, sf_dir):
-    """Suppliers that share a brand and a type, both directions."""
-    return graph.alternatives(_edges(spark, sf_dir), "brand", "type")
+    """Suppliers that share an order and a part, both directions."""
+    return graph.alternatives(_edges(spark, sf_dir), "order", "part")
 
 
-@query(_GRAPH + " SELECT s_suppkey FROM supplier WHERE NOT EXISTS (SELECT 1 FROM e WHERE src = s_suppkey AND type = 'type')")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
 def graph_optional_count(spark, sf_dir):
-    """Nodes whose optional match is empty."""
-    return graph.without(table(spark, sf_dir, "supplier").select("s_suppkey"), _edges(spark, sf_dir), "s_suppkey", "type")
+    """Nodes whose optional match is empty: customers without a pending order."""
+    edges = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("src"), F.col("o_orderkey").alias("dst"), F.col("o_orderstatus").alias("type"))
+    return graph.without(table(spark, sf_dir, "customer").select("c_custkey"), edges, "c_custkey", "P")
 
 
 @query("""
@@ -435,11 +428,19 @@ WITH {_RULES}, m AS (SELECT l_orderkey, l_linenumber, rule_id,
 b AS (SELECT l_orderkey, l_linenumber, max(score * 100 - rule_id) AS best FROM m GROUP BY ALL)
 SELECT CAST(((100 - best % 100) % 100) AS BIGINT) AS rule_id, count(*) AS n FROM b GROUP BY 1""")
 def specificity_rank(spark, sf_dir):
-    """The most specific rule of each row, the first of equally specific ones, counted."""
-    score = sum(F.expr(c).cast("int") for c in ("lo IS NOT NULL", "hi IS NOT NULL", "flag <> 'any'", "status <> 'any'"))
-    best = _matched(spark, sf_dir).groupBy("l_orderkey", "l_linenumber").agg(
-        F.min(F.struct((-score).alias("s"), F.col("rule_id").cast("long").alias("rule_id"))).alias("b"))
-    return best.groupBy(F.col("b.rule_id").alias("rule_id")).agg(F.count("*").alias("n"))
+    """The most specific rule of each line key, the first of equally specific ones, counted; rules are tried within the row."""
+    rule = rank.most_specific(
+        [
+            (1, [F.col("l_quantity") <= 10]),
+            (2, [F.col("l_quantity") >= 10, F.col("l_quantity") <= 30]),
+            (3, [F.col("l_quantity") >= 30]),
+            (4, [F.col("l_quantity") >= 20, F.col("l_returnflag") == "R"]),
+            (5, [F.col("l_quantity") <= 25, F.col("l_linestatus") == "O"]),
+            (6, [F.col("l_quantity") >= 5, F.col("l_quantity") <= 45, F.col("l_returnflag") == "A", F.col("l_linestatus") == "F"]),
+        ]
+    )
+    best = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(rule).alias("b")).filter("b IS NOT NULL")
+    return best.groupBy(F.col("b.rule").cast("long").alias("rule_id")).agg(F.count("*").alias("n"))
 
 
 @query("""

@@ -26,3 +26,27 @@ def graph_tables(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     """Node and edge tables; of several rows of a node (label, id) or edge (src, dst, type) the greatest props stay."""
     nodes.groupBy("label", "id").agg(F.max("props").alias("props")).write.mode("overwrite").partitionBy("label").parquet(f"{path}/nodes")
     edges.groupBy("src", "dst", "type").agg(F.max("props").alias("props")).write.mode("overwrite").partitionBy("type").parquet(f"{path}/edges")
+
+
+def rebuild(df: DataFrame, name: str, keys: list[str], buckets: int) -> None:
+    """A table built anew, bucketed and sorted by its keys so that joins on them need no shuffle.
+
+    Rows are dealt by the keys first: one file for each bucket.
+    """
+    df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
+def report_csv(df: DataFrame, path: str) -> None:
+    """A report as CSV files with a header; values with separators, quotes or line feeds are quoted."""
+    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+
+
+def report_json(df: DataFrame, path: str) -> None:
+    """Statistics as JSON lines; nulls are written."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def report_text(df: DataFrame, path: str, rule: str = "-" * 40) -> None:
+    """Records in a form for reading: one line for each field, a rule behind each record."""
+    fields = [F.concat(F.lit(f"{c}: "), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) for c in df.columns]
+    df.select(F.concat_ws("\n", *fields, F.lit(rule)).alias("value")).write.mode("overwrite").text(path)
