@@ -20,20 +20,20 @@ import re
 import zlib
 from functools import cache
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.cache import TwoGenerations
 from tessera.llm.common import checkpoint_dir, text_of
 
 MAX_BITS = 20
 STEP = 256
 BLOCK_IDS = 1 << 20
 END_ID = 2
-#: Entries that a task remembers of word encodings, in each of two generations.
+#: Word encodings that a worker remembers in each of two generations, besides those of one slice of texts.
 REMEMBERED = 600_000
 #: Characters of texts that are encoded together.
 SLICE = 3 << 20
@@ -68,47 +68,65 @@ class Encoder:
         spelling = {b: chr(b) if b in set(printable) else chr(next(others)) for b in range(256)}
         assert set(spelling.values()) == set(pre_tokenizers.ByteLevel.alphabet())
         # A zero byte stands between pieces; words that hold one go to the library whole.
-        self.spelling = spelling | {0: " "}
+        self.spelling = np.array([ord(c) for _, c in sorted((spelling | {0: " "}).items())], "<u4")
         self.model = Tokenizer(self.library.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.length = np.zeros(size, np.int64)
         for token, i in self.library.get_vocab().items():
             self.length[i] = len(token)
-        self.words = TwoGenerations(remembered)
+        self.remembered = remembered
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         """Remembers the ids of words, each with the space before it or the line feed that it begins with."""
         plain = [w for w in words if "\0" not in w]
-        for w in set(words).difference(plain):
-            self.words.keep(w, self._whole(w if w[0] == "\n" else " " + w))
+        for w in words.difference(plain) if len(plain) < len(words) else ():
+            self.known[w] = self._whole(w if w[0] == "\n" else " " + w)
         if not plain:
             return
-        text = "".join([w if w[0] == "\n" else " " + w for w in plain])
-        pieces = "\0".join(self.pattern.findall(text)).encode("utf-8").decode("latin-1").translate(self.spelling)
-        ids = np.array(self.model.encode_batch_fast([pieces], add_special_tokens=False)[0].ids, self.type)
-        sizes = np.array([len(w.encode()) + (w[0] != "\n") for w in plain], np.int64)
-        at = np.concatenate(([0], np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(sizes)) + 1)).tolist()
-        raw, size = ids.tobytes(), self.type.itemsize
-        for w, a, z in zip(plain, at, at[1:]):
-            self.words.keep(w, raw[a * size : z * size])
+        # No word has a space, and a line feed only at its beginning: these two bytes show where each word begins.
+        text = (" " + " ".join(plain)).replace(" \n", "\n")
+        raw = np.frombuffer(text.encode(), np.uint8)
+        begins = np.append(np.flatnonzero((raw == 32) | (raw == 10))[1:], len(raw))
+        pieces = self.pattern.findall(text)
+        size = self.type.itemsize
+        data = b"".join(map(self._pieces(list(set(pieces))).__getitem__, pieces))
+        ids = np.frombuffer(data, self.type)
+        ends = ((np.searchsorted(np.cumsum(self.length[ids]), begins) + 1) * size).tolist()
+        self.known.update(zip(plain, [data[a:z] for a, z in zip([0, *ends], ends)]))
+
+    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of distinct pieces, by the model."""
+        raw = np.frombuffer("\0".join([*pieces, ""]).encode(), np.uint8)
+        spelt = self.spelling[raw].tobytes().decode("utf-32-le")
+        ids = np.array(self.model.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, self.type)
+        # Bytes of each piece; the zero bytes between them are no part of any.
+        ends = np.flatnonzero(raw == 0) - np.arange(len(pieces))
+        at = ((np.searchsorted(np.cumsum(self.length[ids]), ends) + 1) * self.type.itemsize).tolist()
+        data = ids.tobytes()
+        return dict(zip(pieces, [data[a:z] for a, z in zip([0, *at], at)]))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of self.type."""
-        known = self.words
         odd = [bool(_ODD_SPACE.search(t)) for t in texts]
         cut = [None if o else t.replace("\n", " \n").split(" ") for t, o in zip(texts, odd)]
-        # The words of one slice stay remembered until its texts are put together.
-        seen = {w: known.get(w) or known.recall(w) for w in set(chain.from_iterable(c[1:] for c in cut if c))}
-        new = [w for w, ids in seen.items() if ids is None]
-        self._learn(new)
-        seen.update((w, known.get(w) or known.before[w]) for w in new)
-        return [
-            self._whole(t) if c is None else (self._whole(c[0]) if c[0] else b"") + b"".join(map(seen.__getitem__, c[1:]))
-            for t, c in zip(texts, cut)
-        ]
+        heads = [self._whole(t) if c is None else self._whole(c[0]) if c[0] else b"" for t, c in zip(texts, cut)]
+        rest = [[] if c is None else c[1:] for c in cut]
+        # Generations change between slices only, so the words of one slice stay known until its texts are put together.
+        if len(self.known) >= self.remembered:
+            self.known, self.before = {}, self.known
+        known = self.known
+        missing = set(chain.from_iterable(rest)).difference(known)
+        old = missing & self.before.keys()
+        known.update((w, self.before[w]) for w in old)
+        self._learn(missing - old)
+        # itemgetter with one key gives no tuple, so an empty word, of no ids, stands before the others.
+        known[""] = b""
+        return [h + b"".join(itemgetter("", "", *words)(known)) for h, words in zip(heads, rest)]
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
