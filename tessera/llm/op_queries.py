@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, jaccard_join, mixing, pieces, pii, quality_classifier, quality_rules, recompression, token_file
+from tessera.llm import (
+    chat,
+    exact_dedup,
+    jaccard_join,
+    mixing,
+    periodic_runs,
+    pieces,
+    pii,
+    quality_classifier,
+    quality_rules,
+    recompression,
+    structure_repair,
+    token_file,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +99,30 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_read(spark, sf_dir, "documents"), model, with_ids=False)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find(_read(spark, sf_dir, "documents"), periodic_runs.repeat_tail)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with the faults of op13: conv_id, turn, role, text."""
+    place = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat(place[0], F.lit(":"), place[1]).cast("binary")) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    rows = conversations.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"), text.alias("text"), kind.alias("kind"))
+    copies = F.when(F.col("kind") == 3, 2).otherwise(1)
+    return rows.filter("kind <> 0").select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), copies))).drop("col")
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _read(spark, sf_dir, "conversations")
+    known = structure_repair.reports(damaged(conversations)).withColumnRenamed("conv_id", "c")
+    every = conversations.select("conv_id").distinct().join(known, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    texts = [F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")]
+    return every.select("conv_id", *counts, *texts)
+
+
 def queries():
     return {
         "op1_mixing": op1_mixing,
@@ -98,6 +135,8 @@ def queries():
         "op8_token_file": op8_token_file,
         "op9_chat": op9_chat,
         "op10_sentencepiece": op10_sentencepiece,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_structure_repair": op13_structure_repair,
     }
 
 
@@ -261,6 +300,101 @@ GROUP BY k.c, t.conv_id, k.n_turns, k.n_equal
 """
 
 
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII characters: eight shifts a character."""
+    shift = "xor({0} >> 1, CASE WHEN {0} & 1 = 1 THEN 3988292384 ELSE 0 END)".format("xor(c, x)")
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda s: [CAST(ascii(s) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda c, x: {shift}), 4294967295)"
+
+
+OP12_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_crc32("CAST(doc_id AS VARCHAR)")} AS h,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+e AS (SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+f AS (
+  SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+           list_concat(w[1:a], list_transform(range(0, n - a), lambda k: w[a + k % (1 + (n - a) // (3 + g % 8)) + 1])) END AS w
+  FROM e),
+tri AS (
+  SELECT r, n, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t
+  FROM (SELECT r, n, w, unnest(range(1, n - 1)) AS i FROM f)),
+pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM tri x JOIN tri y ON x.r = y.r AND x.t = y.t AND y.i > x.i WHERE 4 * (y.i - x.i) <= x.n),
+isles AS (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS isle FROM pairs),
+periodic AS (
+  SELECT r, q, min(i) - 1 AS start, count(*) + 2 + q AS length FROM isles GROUP BY r, q, isle
+  HAVING count(*) + 2 + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, start, length, min(q) AS period FROM periodic GROUP BY r, start, length),
+top AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+         arg_min({{'s': start, 'l': length, 'q': period}}, {{'l': -length, 's': start, 'q': period}}) AS t
+  FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period + 1, start + length + 1)) AS i FROM runs),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, n + 1)) AS i FROM f),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.t.s AS start, top.t.l AS length, top.t.q AS period,
+       1000 * top.t.l // top.t.q AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM f LEFT JOIN top USING (r) LEFT JOIN kept USING (r)
+"""
+
+OP13_SQL = f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM k)),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i FROM d),
+f AS (
+  SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') THEN 'truncated'
+              ELSE '' END AS fault
+  FROM o),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE i > 1 AND before || c NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM f GROUP BY conv_id),
+-- The state is the last role's initial. Up to two insertions go before each row and after the last one.
+follow(q, z) AS (VALUES ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+name(z, role) AS (VALUES ('u', 'user'), ('a', 'assistant')),
+ins AS (
+  SELECT q, q AS z, 0 AS cost, '' AS audit, '' AS lines FROM follow
+  UNION ALL SELECT q, z, 5, 'I', role || ':' || chr(10) FROM follow JOIN name USING (z)
+  UNION ALL SELECT x.q, y.z, 10, 'II', n1.role || ':' || chr(10) || n2.role || ':' || chr(10)
+  FROM follow x JOIN follow y ON y.q = x.z JOIN name n1 ON n1.z = x.z JOIN name n2 ON n2.z = y.z),
+ways AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '' AS q, lpad('0', 12, '0') AS best, '' AS lines FROM facts
+  UNION ALL
+  SELECT conv_id, i, q, min(best), arg_min(lines, best) FROM (
+    SELECT w.conv_id, f.i, e.q, lpad(CAST(CAST(left(w.best, 12) AS BIGINT) + ins.cost + e.cost AS VARCHAR), 12, '0')
+             || substr(w.best, 13) || ins.audit || e.letter AS best,
+           w.lines || ins.lines || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text || chr(10) ELSE n.role || ':' || f.text || chr(10) END AS lines
+    FROM ways w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+    JOIN ins ON ins.q = w.q JOIN follow ON follow.q = ins.z JOIN name n ON n.z = follow.z,
+    LATERAL (SELECT * FROM (VALUES ('D', 2, ins.z, true), ('R', 1 + CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, follow.z, fault NOT IN ('blank', 'duplicate')),
+      ('K', CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, f.c, fault NOT IN ('blank', 'duplicate') AND (f.c = follow.z OR (f.c = 's' AND ins.z = '')))) v(letter, cost, q, ok) WHERE ok) e)
+  GROUP BY conv_id, i, q),
+done AS (
+  SELECT conv_id, min(lpad(CAST(CAST(left(best, 12) AS BIGINT) + ins.cost AS VARCHAR), 12, '0') || substr(best, 13) || ins.audit) AS best,
+         arg_min(w.lines || ins.lines, lpad(CAST(CAST(left(best, 12) AS BIGINT) + ins.cost AS VARCHAR), 12, '0') || substr(best, 13) || ins.audit) AS lines
+  FROM ways w JOIN facts USING (conv_id) JOIN ins ON ins.q = w.q WHERE w.i = n AND ins.z IN ('', 'a') GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(left(best, 12) AS BIGINT), 0) AS cost,
+       coalesce(substr(best, 13), '') AS audit, sha256(CASE WHEN coalesce(lines, '') = '' THEN '' ELSE left(lines, length(lines) - 1) END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def oracle_sql():
     return {
         "op1_mixing": OP1_SQL,
@@ -269,4 +403,6 @@ def oracle_sql():
         "op5_jaccard_join": OP5_SQL,
         "op7_exact_dedup": OP7_SQL,
         "op9_chat": OP9_SQL,
+        "op12_periodic_runs": OP12_SQL,
+        "op13_structure_repair": OP13_SQL,
     }

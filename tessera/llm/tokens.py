@@ -70,11 +70,11 @@ def spelled(array: pa.Array) -> list[bytes]:
     return [raw[a:z] for a, z in zip(ends, ends[1:])]
 
 
-def words(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of all words as an array of two 64-bit lanes, and n + 1 offsets of the texts' words among them.
+def split_words(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words, dictionary-encoded, and n + 1 offsets of the texts' words among them.
 
-    A word is a run of characters other than the space and U+0009 to U+000D; `lower` makes A-Z small. A digest is
-    the 128-bit BLAKE2 hash of the word's bytes, made once for each distinct word; null counts as empty.
+    A word is a run of characters other than the space and U+0009 to U+000D; `lower` makes A-Z small; null counts as
+    empty.
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string())
@@ -86,9 +86,30 @@ def words(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.nd
     at = np.zeros(len(found) + 1, np.int64)
     np.cumsum(full.to_numpy(zero_copy_only=False), out=at[1:])
     offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))).astype(np.int64)
-    coded = found.filter(full).dictionary_encode()
+    return found.filter(full).dictionary_encode(), at[offsets]
+
+
+def words(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of all words as an array of two 64-bit lanes, and n + 1 offsets of the texts' words among them.
+
+    Words are those of split_words. A digest is the 128-bit BLAKE2 hash of the word's bytes, made once for each
+    distinct word.
+    """
+    coded, at = split_words(texts, lower)
     lanes = _VOCABULARY.lanes(spelled(coded.dictionary))
-    return lanes[coded.indices.to_numpy(zero_copy_only=False)], at[offsets]
+    return lanes[coded.indices.to_numpy(zero_copy_only=False)], at
+
+
+def slices(source, text_at: int, rows: int = 1000, size: int = 1 << 24):
+    """Batches cut to at most `rows` rows, and to about `size` bytes in the column of texts (one row at least)."""
+    for batch in source:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        i = 0
+        while i < batch.num_rows:
+            before = ends[i - 1] if i else 0
+            j = max(i + 1, min(i + rows, int(np.searchsorted(ends, before + size, side="right"))))
+            yield batch.slice(i, j - i)
+            i = j
 
 
 def shingles(lanes: np.ndarray, width: int) -> np.ndarray:
