@@ -16,6 +16,7 @@ from tessera.llm import (
     quality_classifier,
     quality_rules,
     recompression,
+    simhash,
     structure_repair,
     token_file,
 )
@@ -99,6 +100,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_read(spark, sf_dir, "documents"), model, with_ids=False)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.find(_read(spark, sf_dir, "documents"), periodic_runs.repeat_tail)
 
@@ -135,6 +140,7 @@ def queries():
         "op8_token_file": op8_token_file,
         "op9_chat": op9_chat,
         "op10_sentencepiece": op10_sentencepiece,
+        "op11_simhash": op11_simhash,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_structure_repair": op13_structure_repair,
     }
