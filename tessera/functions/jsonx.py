@@ -1,11 +1,8 @@
-"""JSON text as typed values and as rows of (path, value)."""
+"""JSON text: keys, gaps, and what can be read of broken arrays. Documents as rows: see operators/trees.py."""
 
 from __future__ import annotations
 
-import json
-import re
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -15,54 +12,48 @@ def has_key(j: Column, key: str) -> Column:
 
 
 def is_blank(j: Column) -> Column:
-    """Whether a JSON value is a gap: absent, null, a blank string, an empty array or object."""
-    return F.coalesce(F.regexp_replace(j, r'[\s"]', "").isin("", "[]", "{}", "null"), F.lit(True))
+    """Whether JSON text is a gap: absent, null, a blank string, an empty array or object; decided by type, so the string
+    "[]" is none."""
+    return F.coalesce(j.rlike(r'(?U)^\s*(null|\[\s*\]|\{\s*\}|"(?:\s|\\[nrtfb])*")?\s*$'), F.lit(True))
+
+
+def is_blank_text(c: Column) -> Column:
+    """Whether text is absent or blank."""
+    return F.coalesce(F.trim(c) == "", F.lit(True))
+
+
+#: A string (or the rest of the text, where it is cut off inside one), a bracket, or anything between.
+_TOKEN = r'"(?:[^"\\]|\\(?s:.))*(?:"|\\?\z)|[\[\]{}]|[^"\[\]{}]+'
 
 
-def paths(df: DataFrame, key: str, doc: str, depth: int = 3) -> DataFrame:
-    """Rows (key, path array, value JSON text) of the leaves and arrays of JSON objects, down to `depth` keys.
+def repaired(text: Column) -> Column:
+    """The objects of a fenced or cut-off JSON array, as the text of a JSON array; null without any.
 
-    Objects below that depth are returned whole. Keys may hold any character, since a path is an array.
+    A fold over the tokens of the text counts brackets outside strings. A whole array is taken as it is; else the
+    complete objects at the top, up to the first that is no JSON. Text around the array is ignored.
     """
-    level = df.select(F.col(key), F.array().cast("array<string>").alias("path"), F.col(doc).alias("value"))
-    out = None
-    for k in range(depth):
-        parsed = level.withColumn("m", F.from_json("value", "map<string,string>"))
-        rows = parsed.select(key, "path", F.explode("m").alias("name", "value")).select(
-            key, F.concat("path", F.array("name")).alias("path"), "value"
-        )
-        nested = F.coalesce(F.col("value").startswith("{"), F.lit(False))
-        leaves = rows if k == depth - 1 else rows.filter(~nested)
-        out = leaves if out is None else out.unionByName(leaves)
-        level = rows.filter(nested)
-    return out
-
-
-def deep_merge(template: dict, record: dict) -> dict:
-    """`record` over `template`: objects merge by key, anything else of the record wins."""
-    out = dict(template)
-    for k, v in record.items():
-        out[k] = deep_merge(out[k], v) if isinstance(v, dict) and isinstance(out.get(k), dict) else v
-    return out
-
-
-def repair(text: str | None) -> list | None:
-    """The objects of a fenced or cut-off JSON array, or None without any."""
-    if not text:
-        return None
-    body = re.sub(r"^\s*```\w*|```\s*$", "", text.strip())
-    decoder, found, at = json.JSONDecoder(), [], body.find("{")
-    whole = body.find("[")
-    if 0 <= whole and (at < 0 or whole < at):
-        try:
-            return decoder.raw_decode(body, whole)[0]
-        except ValueError:
-            pass
-    while at >= 0:
-        try:
-            value, end = decoder.raw_decode(body, at)
-        except ValueError:
-            break
-        found.append(value)
-        at = body.find("{", end)
-    return found or None
+    body = F.regexp_replace(F.trim(text), r"^\s*```\w*|```\s*$", "")
+    array_at, object_at = F.instr(body, "["), F.instr(body, "{")
+    start = F.when((array_at > 0) & ((object_at == 0) | (array_at < object_at)), array_at)
+
+    def spans(tail: Column, opening: str, closing: str) -> Column:
+        """The parts of `tail` from an opening bracket to the one that closes it."""
+
+        def step(state: Column, token: Column) -> Column:
+            deeper, shallower = token.isin(*opening), token.isin(*closing) & (state["depth"] > 0)
+            depth = state["depth"] + F.when(deeper, 1).when(shallower, -1).otherwise(0)
+            held = F.when((state["depth"] == 0) & ~deeper, "").otherwise(F.concat(state["held"], token))
+            full = shallower & (depth == 0)
+            found = F.when(full, F.concat(state["found"], F.array(held))).otherwise(state["found"])
+            return F.struct(depth.alias("depth"), F.when(full, "").otherwise(held).alias("held"), found.alias("found"))
+
+        none = F.struct(F.lit(0).alias("depth"), F.lit("").alias("held"), F.array().cast("array<string>").alias("found"))
+        return F.aggregate(F.regexp_extract_all(tail, F.lit(_TOKEN), F.lit(0)), none, step)["found"]
+
+    whole = F.get(spans(F.substring(body, start, F.length(body)), "[{", "]}"), F.lit(0))
+    objects = spans(F.substring(body, object_at, F.length(body)), "{", "}")
+    parsed = F.transform(objects, lambda o: F.to_json(F.try_parse_json(o)))
+    bad = F.coalesce(F.array_position(F.transform(parsed, lambda o: o.isNull()), True), F.lit(0))
+    good = F.when(bad == 0, parsed).otherwise(F.slice(parsed, F.lit(1), F.greatest(bad - 1, F.lit(0)).cast("int")))
+    stream = F.when((object_at > 0) & (F.size(good) > 0), F.concat(F.lit("["), F.array_join(good, ","), F.lit("]")))
+    return F.coalesce(F.to_json(F.try_parse_json(whole)), stream)

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.jsonx import is_blank
 from tessera.operators.rank import first_of
 
 
-def sibling_decisions(df: DataFrame, group: list[str], key: str, column: str) -> DataFrame:
+def sibling_decisions(df: DataFrame, group: list[str], key: str, column: str, blank: Callable[[Column], Column] = is_blank) -> DataFrame:
     """For each row with a blank value: the longest value in its group (least key of equals), or that there is none.
 
-    One row for each gap: key, filled_value, source_key, status ("filled" or "skipped").
+    `blank` decides what a gap is (of JSON text by default). One row for each gap: key, filled_value, source_key, status ("filled" or "skipped").
     """
-    gap = is_blank(F.col(column))
+    gap = blank(F.col(column))
     donors = df.filter(~gap).select(*group, F.col(column).alias("filled_value"), F.col(key).alias("source_key"))
     best = first_of(donors, group, [F.length("filled_value").desc(), F.col("source_key")])
     return (

@@ -1,65 +1,10 @@
-"""Nested records as rows of (key, path, value), and flows that fill, compare and flatten them."""
+"""Records of many sources brought to one shape."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.jsonx import is_blank, paths
-from tessera.operators.rank import first_of
-
-SEPARATOR = "."
-
-
-def leaves(df: DataFrame, key: str, doc: str, depth: int = 8) -> DataFrame:
-    """Rows key, path (names joined by dots), value (JSON text)."""
-    return paths(df, key, doc, depth).select(key, F.array_join("path", SEPARATOR).alias("path"), "value")
-
-
-def path_decisions(df: DataFrame, key: str, group: str, doc: str) -> DataFrame:
-    """For each blank path of each record: the longest value at that path among its group (least key of equals).
-
-    One row for each gap: key, path, filled_value, source_key, status. Only paths that the record has are gaps.
-    """
-    rows = df.select(key, group).join(leaves(df, key, doc), key)
-    gap = is_blank(F.col("value"))
-    donors = rows.filter(~gap).select(group, "path", F.col("value").alias("filled_value"), F.col(key).alias("source_key"))
-    best = first_of(donors, [group, "path"], [F.length("filled_value").desc(), F.col("source_key")])
-    status = F.when(F.col("source_key").isNull(), "skipped").otherwise("filled")
-    return rows.filter(gap).join(best, [group, "path"], "left").select(key, "path", "filled_value", "source_key", status.alias("status"))
-
-
-def fills(decisions: DataFrame, key: str) -> DataFrame:
-    """The decided fills of each record as one map from path to value."""
-    filled = decisions.filter("status = 'filled'")
-    entries = F.map_from_entries(F.collect_list(F.struct("path", "filled_value")))
-    return filled.groupBy(key).agg(entries.alias("fills"))
-
-
-def apply_fills(df: DataFrame, decisions: DataFrame, key: str, doc: str, depth: int = 8) -> DataFrame:
-    """Rows key, path, value of the records with their fills applied; paths of a fill that a record lacks are added."""
-    own = leaves(df, key, doc, depth)
-    new = decisions.filter("status = 'filled'").select(key, "path", "filled_value")
-    return own.join(new, [key, "path"], "full").select(key, "path", F.coalesce("filled_value", "value").alias("value"))
-
-
-def deep_diff(before: DataFrame, after: DataFrame, key: str, doc: str) -> DataFrame:
-    """Paths that differ between two states of records: key, path, change (lost, added, changed)."""
-    b = leaves(before, key, doc).withColumnRenamed("value", "b")
-    a = leaves(after, key, doc).withColumnRenamed("value", "a")
-    change = F.when(F.col("a").isNull(), "lost").when(F.col("b").isNull(), "added").otherwise("changed")
-    both = b.join(a, [key, "path"], "full").filter(~F.col("a").eqNullSafe(F.col("b")))
-    return both.select(key, "path", change.alias("change"))
-
-
-def catalogue(df: DataFrame, key: str, doc: str) -> DataFrame:
-    """Every path with the count of records that have it, of nulls, and of distinct values."""
-    null = (F.col("value").isNull()) | (F.col("value") == "null")
-    return leaves(df, key, doc).groupBy("path").agg(
-        F.count("*").alias("n"), F.count_if(null).alias("nulls"), F.countDistinct("value").alias("values")
-    )
-
-
 def standardise(doc: Column, mapping: dict[str, tuple[str, str, str]], unmapped: str = "unmapped_fields") -> Column:
     """The fields of a JSON object as an array of (category, field, slot, value), within the row.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import jsonx
-from tessera.operators import rank
+from tessera.operators import rank, trees
 from tessera.plans.base import query
 from tessera.sources.tables import table
 
@@ -41,10 +41,8 @@ def json_type_guard(spark, sf_dir):
 @query("SELECT 'k' AS path, count(*) AS n, count(DISTINCT props->>'$.k') AS values FROM events WHERE list_contains(json_keys(props), 'k')")
 def schema_paths(spark, sf_dir):
     """Catalogue of the paths of a JSON column, with counts of rows and of values."""
-    leaves = jsonx.paths(table(spark, sf_dir, "events"), "event_id", "props")
-    return leaves.groupBy(F.array_join("path", ".").alias("path")).agg(
-        F.count("*").alias("n"), F.countDistinct("value").alias("values")
-    )
+    paths = trees.catalogue(table(spark, sf_dir, "events"), "event_id", "props")
+    return paths.select(F.array_join("path", ".", "[]").alias("path"), "n", "values")
 
 
 @query("""

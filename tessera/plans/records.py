@@ -5,70 +5,120 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import records
+from tessera.operators import trees
 from tessera.plans.base import query
+from tessera.session import stage
 from tessera.sources.tables import table
 
-#: Each event as a record of two levels, with gaps by event type; `x` is the two-level value, `k` the one below it.
-_FLAT = """
-WITH r AS (SELECT event_id, user_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(props->>'$.k' AS VARCHAR) END AS k,
-  CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS kind FROM events),
-l AS (SELECT event_id, user_id, 'a.k' AS path, k AS value FROM r UNION ALL SELECT event_id, user_id, 'kind', kind FROM r)"""
-
-
-def _events(spark, sf_dir):
-    rows = table(spark, sf_dir, "events")
-    k = F.when(F.col("event_type") != "error", F.get_json_object("props", "$.k").cast("long"))
-    kind = F.when(F.col("event_type") == "view", "").otherwise(F.col("event_type"))
-    doc = F.to_json(F.struct(F.struct(k.alias("k")).alias("a"), kind.alias("kind")), {"ignoreNullFields": "false"})
-    return rows.select("event_id", "user_id", doc.alias("doc"))
+#: Each turn as a nested document with gaps of every kind, a dotted name, text that looks like JSON, and arrays.
+_DOCS = """
+WITH docs AS (
+  SELECT conv_id * 1000 + turn AS id, conv_id, turn, json_object(
+    'speaker', CASE WHEN turn % 4 = 1 THEN ' ' ELSE role END,
+    'body', json_object('text', CASE WHEN turn % 3 > 0 THEN left(text, 40) END,
+                        'stats', json_object('chars', length(text), 'lines', list_transform(list_filter(string_split(text, chr(10))[2:], lambda x: x <> ''), lambda x: length(x)))),
+    'a.k', turn, 'note', '{' || left(text, 12),
+    'tags', CASE WHEN turn % 2 = 0 THEN json_object() ELSE json_object('role', role, 'turn.no', CAST(turn AS VARCHAR)) END) AS doc
+  FROM conversations),
+tree AS (SELECT d.id, d.conv_id, t.fullkey AS path, t.type, CAST(t.value AS VARCHAR) AS value FROM docs d, json_tree(d.doc) t WHERE t.fullkey <> '$'),
+nodes AS (SELECT * FROM tree WHERE NOT regexp_matches(path, '\\[\\d+\\]')),
+leaves AS (SELECT *, value IN ('null', '[]', '{}') OR (type = 'VARCHAR' AND trim(value, '" ') = '') AS gap FROM nodes WHERE type <> 'OBJECT' OR value = '{}')"""
+
+
+def _documents(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    lines = F.filter(F.slice(F.split("text", "\n"), 2, 1 << 30), lambda x: x != "")
+    nothing = F.create_map().cast("map<string,string>")
+    tags = F.when(F.col("turn") % 2 == 0, nothing).otherwise(F.create_map(F.lit("turn.no"), F.col("turn").cast("string"), F.lit("role"), F.col("role")))
+    doc = F.struct(
+        F.when(F.col("turn") % 4 == 1, " ").otherwise(F.col("role")).alias("speaker"),
+        F.struct(
+            F.when(F.col("turn") % 3 > 0, F.left("text", F.lit(40))).alias("text"),
+            F.struct(F.length("text").alias("chars"), F.transform(lines, F.length).alias("lines")).alias("stats"),
+        ).alias("body"),
+        F.col("turn").alias("a.k"),
+        F.concat(F.lit("{"), F.left("text", F.lit(12))).alias("note"),
+        tags.alias("tags"),
+    )
+    ident = (F.col("conv_id") * 1000 + F.col("turn")).alias("id")
+    return rows.select(ident, "conv_id", "turn", F.to_json(doc, {"ignoreNullFields": "false"}).alias("doc"))
 
 
-_DECIDED = _FLAT + """, d AS (SELECT user_id, path, value, event_id, row_number() OVER (PARTITION BY user_id, path ORDER BY length(value) DESC, event_id) AS r FROM l WHERE value <> ''),
-x AS (SELECT l.event_id, l.path, d.value AS filled_value, d.event_id AS source_key, CASE WHEN d.event_id IS NULL THEN 'skipped' ELSE 'filled' END AS status
-  FROM l LEFT JOIN d ON d.user_id = l.user_id AND d.path = l.path AND r = 1 WHERE coalesce(l.value, '') = '')"""
+_DECIDED = _DOCS + """,
+donors AS (
+  SELECT l.conv_id, l.path, n.value, n.id, row_number() OVER (PARTITION BY l.conv_id, l.path ORDER BY length(n.value) DESC, n.id) AS r,
+         count(*) OVER (PARTITION BY l.conv_id, l.path) AS n
+  FROM (SELECT DISTINCT conv_id, path FROM leaves WHERE gap) l JOIN nodes n USING (conv_id, path)
+  WHERE NOT (n.value IN ('null', '[]', '{}') OR (n.type = 'VARCHAR' AND trim(n.value, '" ') = ''))),
+x AS (
+  SELECT l.id, l.path, l.value AS original_value, d.value AS filled_value, d.id AS source_key, coalesce(d.n, 0) AS sibling_count,
+         CASE WHEN d.id IS NULL THEN 'skipped_no_sibling_value' ELSE 'filled' END AS status
+  FROM leaves l LEFT JOIN donors d ON d.conv_id = l.conv_id AND d.path = l.path AND d.r = 1 WHERE l.gap)"""
 
 
 @query(_DECIDED + " SELECT * FROM x")
 def sibling_path_decisions(spark, sf_dir):
-    """Blank paths inside records and what the siblings of a user offer for each."""
-    return records.path_decisions(_events(spark, sf_dir), "event_id", "user_id", "doc")
+    """The gaps inside documents, at any depth, and what the documents of the same conversation offer for each."""
+    decided = trees.fill_decisions(_documents(spark, sf_dir), "id", ["conv_id"], "doc")
+    return decided.withColumn("path", trees.rendered(F.col("path")))
 
 
-@query(_DECIDED + """ SELECT l.path, count(*) AS n, count(*) FILTER (WHERE coalesce(x.filled_value, l.value, '') = '') AS gaps, count(DISTINCT coalesce(x.filled_value, l.value, '')) AS values
-FROM l LEFT JOIN x USING (event_id, path) GROUP BY l.path""")
+@query(_DECIDED + """,
+after AS (
+  SELECT l.path, l.value FROM leaves l LEFT JOIN x USING (id, path) WHERE x.filled_value IS NULL
+  UNION ALL SELECT x.path || substr(t.fullkey, 2), CAST(t.value AS VARCHAR) FROM x, json_tree(x.filled_value) t
+  WHERE x.status = 'filled' AND NOT regexp_matches(t.fullkey, '\\[\\d+\\]') AND (t.type <> 'OBJECT' OR CAST(t.value AS VARCHAR) = '{}'))
+SELECT path, count(*) AS n, count(*) FILTER (WHERE value IN ('null', '[]', '{}', '" "')) AS gaps, count(DISTINCT value) AS values FROM after GROUP BY path""")
 def sibling_path_apply(spark, sf_dir):
-    """The records after their fills, as counts by path."""
-    rows = _events(spark, sf_dir)
-    done = records.apply_fills(rows, records.path_decisions(rows, "event_id", "user_id", "doc"), "event_id", "doc")
-    value = F.when(F.col("value").isNull() | (F.col("value") == "null"), "").otherwise(F.col("value"))
-    return done.groupBy("path").agg(F.count("*").alias("n"), F.count_if(value == "").alias("gaps"), F.countDistinct(value).alias("values"))
+    """The documents rebuilt with their fills, as counts by path."""
+    docs = stage(_documents(spark, sf_dir))
+    decided = stage(trees.fill_decisions(docs, "id", ["conv_id"], "doc"))
+    leaves = trees.walk(trees.enrich(docs, "id", "doc", decided), "id", "doc")
+    return leaves.groupBy(trees.rendered(F.col("path")).alias("path")).agg(
+        F.count("*").alias("n"), F.count_if(trees.is_gap(F.col("value"))).alias("gaps"), F.countDistinct("value").alias("values")
+    )
 
 
-@query(_DECIDED + " SELECT event_id, count(*) AS n, string_agg(path || '=' || filled_value, ',' ORDER BY path) AS fills FROM x WHERE status = 'filled' GROUP BY event_id")
+@query(_DECIDED + " SELECT id, count(*) AS n, string_agg(path || '=' || filled_value, ',' ORDER BY path) AS fills FROM x WHERE status = 'filled' GROUP BY id")
 def fill_maps(spark, sf_dir):
-    """The fills of each record as one map."""
-    maps = records.fills(records.path_decisions(_events(spark, sf_dir), "event_id", "user_id", "doc"), "event_id")
+    """The fills of each document as one map."""
+    maps = trees.fill_maps(trees.fill_decisions(_documents(spark, sf_dir), "id", ["conv_id"], "doc"), "id")
     entries = F.transform(F.array_sort(F.map_entries("fills")), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    return maps.select("event_id", F.size("fills").cast("long").alias("n"), F.array_join(entries, ",").alias("fills"))
+    return maps.select("id", F.size("fills").cast("long").alias("n"), F.array_join(entries, ",").alias("fills"))
 
 
-@query(_FLAT + """ SELECT path, count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS nulls, count(DISTINCT value) AS values FROM l GROUP BY path""")
+@query(_DOCS + """
+SELECT regexp_replace(path, '\\[\\d+\\]', '[*]', 'g') AS path, count(*) AS n, count(*) FILTER (WHERE type = 'OBJECT') AS n_object,
+  count(*) FILTER (WHERE type = 'ARRAY') AS n_array, count(*) FILTER (WHERE type = 'VARCHAR') AS n_string, count(*) FILTER (WHERE type = 'NULL') AS n_null,
+  count(*) FILTER (WHERE type LIKE '%INT') AS n_number, count(DISTINCT CASE WHEN type NOT IN ('OBJECT', 'ARRAY') THEN value END) AS values
+FROM tree GROUP BY 1""")
 def path_catalogue(spark, sf_dir):
-    """Every path of nested records with counts of records, nulls and distinct values."""
-    return records.catalogue(_events(spark, sf_dir), "event_id", "doc")
+    """Every path of nested documents, into arrays too, with counts of nodes by kind and of distinct values."""
+    paths = trees.catalogue(_documents(spark, sf_dir), "id", "doc")
+    return paths.select(trees.rendered(F.col("path")).alias("path"), "n", "n_object", "n_array", "n_string", "n_null", "n_number", "values")
 
 
-@query("""
-WITH b AS (SELECT event_id, props->>'$.k' AS k FROM events)
-SELECT event_id, 'k' AS path, 'changed' AS change FROM b WHERE event_id % 10 = 0 UNION ALL SELECT event_id, 'k', 'lost' FROM b WHERE event_id % 10 = 1
-UNION ALL SELECT event_id, 'j', 'added' FROM b WHERE event_id % 10 = 1""")
+@query(_DOCS + """,
+b AS (SELECT id, path, value FROM leaves), a AS (SELECT id - 1 AS id, path, value FROM leaves WHERE id % 1000 > 0)
+SELECT id, path, CASE WHEN a.value IS NULL THEN 'lost' WHEN b.value IS NULL THEN 'added' ELSE 'changed' END AS change, b.value AS old, a.value AS new
+FROM b FULL JOIN a USING (id, path) WHERE a.value IS DISTINCT FROM b.value""")
 def deep_diff(spark, sf_dir):
-    """Values lost, added and changed between two states of records."""
-    rows, which = table(spark, sf_dir, "events").select("event_id", "props"), F.col("event_id") % 10
-    k = F.get_json_object("props", "$.k").cast("long")
-    after = F.when(which == 0, F.to_json(F.struct((k + 1).alias("k")))).when(which == 1, F.to_json(F.struct(k.alias("j")))).otherwise(F.col("props"))
-    return records.deep_diff(rows, rows.withColumn("props", after), "event_id", "props")
+    """Values lost, added and changed between the document of each turn and that of the next."""
+    docs = _documents(spark, sf_dir)
+    after = docs.filter("turn > 0").withColumn("id", F.col("id") - 1)
+    out = trees.differences(docs, after, "id", "doc")
+    return out.withColumn("path", trees.rendered(F.col("path")))
+
+
+@query(_DOCS + """,
+deep AS (SELECT path, max(CASE WHEN type = 'OBJECT' OR type = 'ARRAY' THEN 1 ELSE 0 END) AS opens FROM (
+  SELECT regexp_replace(path, '\\[\\d+\\]', '', 'g') AS path, CASE WHEN regexp_matches(path, '\\]$') AND type NOT IN ('OBJECT', 'ARRAY') THEN 'OBJECT' ELSE type END AS type FROM tree) GROUP BY path),
+shape AS (SELECT path, opens FROM deep d WHERE NOT EXISTS (SELECT 1 FROM deep e WHERE starts_with(e.path, d.path || '.')))
+SELECT path, CASE opens WHEN 1 THEN '{}' ELSE 'null' END AS value FROM shape""")
+def schema_template(spark, sf_dir):
+    """The one document that the shapes of all documents fit into, as its leaves."""
+    merged = trees.template(trees.catalogue(_documents(spark, sf_dir), "id", "doc")).withColumn("id", F.lit(0))
+    return trees.walk(merged, "id", "doc").select(trees.rendered(F.col("path")).alias("path"), "value")
 
 
 @query("""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.functions.jsonx import is_blank_text
 from tessera.operators import enrich, graph, merge, rank
 from tessera.plans.base import query
 from tessera.sources.tables import table
@@ -170,7 +171,7 @@ FROM part p LEFT JOIN d USING (p_brand, p_type) WHERE p.p_size < 25""")
 def sibling_fill_text(spark, sf_dir):
     """Blank names filled by the longest name among parts of the same brand and type; decisions with skipped ones."""
     parts = table(spark, sf_dir, "part").withColumn("p_name", F.when(F.col("p_size") >= 25, F.col("p_name")))
-    return enrich.sibling_decisions(parts, ["p_brand", "p_type"], "p_partkey", "p_name")
+    return enrich.sibling_decisions(parts, ["p_brand", "p_type"], "p_partkey", "p_name", is_blank_text)
 
 
 @query("""

@@ -1,7 +1,9 @@
 """Golden examples of the functions, and properties of the joins."""
 
 import itertools
+import json
 import random
+import re
 import uuid
 
 import pytest
@@ -53,15 +55,37 @@ def test_edit_join_loses_no_pair(spark, most):
     assert got == {(a, b) for a, b in itertools.product(names, names) if distance(a, b) <= most}
 
 
-def test_json_gaps_paths_merge_and_repair(spark):
-    docs = [(1, '{"a": {"b": 1, "c.d": null}, "e": [1]}'), (2, "{}"), (3, None)]
-    df = spark.createDataFrame(docs, "id int, j string")
-    assert sorted(values(jsonx.paths(df, "id", "j")), key=str) == [(1, ["a", "b"], "1"), (1, ["a", "c.d"], None), (1, ["e"], "[1]")]
-    gaps = spark.createDataFrame([(x,) for x in (None, "", '"  "', "[]", "{ }", "null", "0", "false", "[0]")], "j string")
-    assert [r[0] for r in values(gaps.select(jsonx.is_blank(F.col("j"))))] == [True] * 6 + [False] * 3
-    assert jsonx.deep_merge({"a": {"x": 1, "y": 2}, "b": 1}, {"a": {"y": 3}, "c": 4}) == {"a": {"x": 1, "y": 3}, "b": 1, "c": 4}
-    assert jsonx.repair('```json\n[{"a": 1}, {"b": 2}, {"c"') == [{"a": 1}, {"b": 2}]
-    assert jsonx.repair("none") is None and jsonx.repair('[{"a": 1}]') == [{"a": 1}]
+def read_objects(text):
+    """The complete objects of a cut-off array, by the standard decoder."""
+    body = re.sub(r"^\s*```\w*|```\s*$", "", text.strip())
+    decoder, found, at = json.JSONDecoder(), [], body.find("{")
+    whole = body.find("[")
+    if 0 <= whole and (at < 0 or whole < at):
+        try:
+            return decoder.raw_decode(body, whole)[0]
+        except ValueError:
+            pass
+    while at >= 0:
+        try:
+            value, end = decoder.raw_decode(body, at)
+        except ValueError:
+            break
+        found.append(value)
+        at = body.find("{", end)
+    return found or None
+
+
+def test_json_gaps_and_repair(spark):
+    gaps = spark.createDataFrame([(x,) for x in (None, "", '"  "', "[]", "{ }", "null", "0", "false", "[0]", '"[]"', '"null"')], "j string")
+    assert [r[0] for r in values(gaps.select(jsonx.is_blank(F.col("j"))))] == [True] * 6 + [False] * 5
+    r = random.Random(1)
+    whole = json.dumps([{"a": "x}{", "b": [1, {"c": '"}'}]}, {"d": "\\", "e": {"f": []}}, {"g": "[é", "h": None}])
+    texts = [whole[: r.randrange(len(whole) + 1)] for _ in range(120)] + [whole + "\n```", "```json\n" + whole + "\n```", "Here: " + whole + " done [1]"]
+    texts += ["none", "", "[1, 2]", "[]", "{}", '{"a": 1} {"b": tru} {"c": 2}', "[{]}", '{"a": 1}{"a": 2', "[1, 2", "  ", "{" * 50, '{"a":"' + "\\" * 7]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", jsonx.repaired(F.col("t")).alias("j"))
+    assert "Python" not in df._jdf.queryExecution().toString()
+    for t, j in values(df):
+        assert (None if j is None else json.loads(j)) == read_objects(t), t
 
 
 def test_chunks_join_to_the_text():
