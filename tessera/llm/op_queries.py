@@ -287,20 +287,20 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-OP9_SQL = """
+OP9_SQL = r"""
 WITH c AS (SELECT *, CASE WHEN conv_id IS NULL THEN 'row' || row_number() OVER () ELSE 'conv' || conv_id END AS c FROM conversations),
 t AS (
   SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) AS place,
          count(*) OVER (PARTITION BY c) AS n_turns
-  FROM (SELECT *, md5(coalesce(role, chr(0)) || chr(1) || coalesce(text, chr(0))) AS digest FROM c)),
+  FROM (SELECT *, sha256(coalesce(role, chr(0)) || chr(1) || coalesce(text, chr(0))) AS digest FROM c)),
 p AS (
   SELECT c, conv_id, place, n_turns, string_agg(digest, '') OVER (PARTITION BY c ORDER BY place) AS prefix FROM t),
 w AS (SELECT prefix, n_turns, coalesce(arg_min(c, conv_id), min(c)) AS c, count(*) AS n_equal
       FROM p WHERE place = n_turns GROUP BY prefix, n_turns),
 k AS (SELECT * FROM w WHERE prefix NOT IN (SELECT prefix FROM p WHERE place < n_turns))
 SELECT t.conv_id, k.n_turns, k.n_equal,
-       string_agg('<|' || translate(replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >'), chr(10), ' ')
-                  || '|>' || chr(10) || replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY place) AS text
+       string_agg('<|' || translate(regexp_replace(regexp_replace(coalesce(role, 'unknown'), '<(\\*)\|', '<\\\1|', 'g'), '\|(\\*)>', '|\\\1>', 'g'), chr(10), ' ')
+                  || '|>' || chr(10) || regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g') || '<|end|>' || chr(10), '' ORDER BY place) AS text
 FROM k JOIN t ON k.c = t.c
 GROUP BY k.c, t.conv_id, k.n_turns, k.n_equal
 """

@@ -135,7 +135,7 @@ def test_chat_keeps_maximal_conversations(spark):
     assert got == want
     texts = {x.conv_id: x.text for x in out.collect()}
     for c, t in texts.items():
-        assert t == "".join(f"<|{role or 'unknown'}|>\n{(s or '').replace('<|', '< |')}<|end|>\n" for role, s in logs[c])
+        assert t == "".join(f"<|{role or 'unknown'}|>\n{(s or '').replace('<|', '<' + chr(92) + '|')}<|end|>\n" for role, s in logs[c])
     assert chat.render(df.limit(0)).count() == 0
 
 
@@ -146,6 +146,23 @@ def test_chat_nulls_and_ties(spark):
     assert sorted((x.conv_id or 0, x.n_turns) for x in got) == [(0, 1), (1, 3)]
 
 
+def test_chat_of_prefixes_that_share_any_linear_hash(spark):
+    """Two conversations that differ in many turns stay two, and long ones are chained whole."""
+    r = random.Random(6)
+    rows = [(c, t, "user", f"{t}{'ab'[c % 2 if t in swap else 0]}") for swap in [set(r.sample(range(700), 70))] for c in range(2) for t in range(700)]
+    rows += [(2, t, "user", f"{t}a") for t in range(300)]
+    got = chat.maximal(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    want = [(0, 700, 1), (1, 700, 1)]
+    assert sorted(map(tuple, got)) == (want if any(x[0] == 0 and x[3] == y[3] for x, y in zip(rows, rows[1400:])) else [*want, (2, 300, 1)])
+
+
+def test_chat_renders_texts_that_differ_apart(spark):
+    texts = ["<|", "<\\|", "< |", "<\\\\|", "<|user|>\nx<|end|>"]
+    rows = [(c, 0, "r|>\\", t) for c, t in enumerate(texts)] + [(9, 0, "r|\\>\\", "<|")]
+    got = [x.text for x in chat.render(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()]
+    assert len(set(got)) == 6 and all(t.count("<|") == 2 for t in got)
+
+
 # Surrogates
 
 
