@@ -5,8 +5,10 @@ and names after a form of address. Each entity gets a keyed replacement of its o
 and script, digits stay digits, punctuation and grouping stay as written, card numbers keep their check sum
 modulo 10. Spellings of one entity (grouping of digits, case of an address) share one surrogate, in all documents.
 
-Names are replaced part by part: a family name by a family name, a first name by one of the gender of its form of
-address, so that "Dr Weiss", "Mr Weiss" and "Mr John Weiss" stay one family. A first name after a form without
+A name is up to four parts with initials and particles between; a part may have inner capitals, hyphens and
+apostrophes. All of it is replaced: the family name (the last part, with the particles before it) by a family name, with
+a hyphen where it has one, and what stands before it by one first name of the gender of its form of address, or by an
+initial where only initials do, so that "Dr Weiss", "Mr Weiss" and "Mr John Weiss" stay one family. A first name after a form without
 gender takes the gender that the same full name has elsewhere, where it has one only.
 
 Distinctness: over the distinct entities, candidates that two entities share, or that are themselves an entity of
@@ -44,7 +46,18 @@ MALE = ("Mr", "Herr", "Monsieur", "Señor", "Господин", "Κύριος",
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Госпожа", "Κυρία", "Κα")
 NEUTRAL = ("Dr", "Prof")
 #: Longest first, so that none is taken for the beginning of another.
-TITLE = "(?:" + "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)) + r")\.? "
+TITLE = "(?:(?:" + "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)) + r")\.? )+"
+
+#: Particles of family names, with small or capital letter, and those with a small letter only.
+PARTICLES = "van von der den de del della di da dos du la le ten ter zu zum zur af av".split()
+SMALL_PARTICLES = "al el bin ibn y e und".split()
+_PARTICLE = "(?:" + "|".join([f"[{p[0].upper()}{p[0]}]{p[1:]}" for p in PARTICLES] + SMALL_PARTICLES) + ")"
+_INITIALS = r"(?:\p{Lu}\.)(?:[- ]?\p{Lu}\.)*"
+#: A part of a name: inner capitals, hyphens and apostrophes included, but not a possessive s.
+_LETTERS = r"[\p{L}\p{M}]"
+_PART = rf"(?:\p{{Lu}}|\p{{Ll}}{{1,2}}['’]\p{{Lu}}){_LETTERS}*+(?:[-‐‑'’](?![sS](?!{_LETTERS})){_LETTERS}++)*"
+_PARTS = rf"(?!{TITLE})(?:(?:{_INITIALS}|{_PARTICLE}) )*{_PART}"
+_FAMILY = rf"((?:{_PARTICLE} )*[^ ]+)$"
 
 #: First names by script and gender, and syllables of family names by script.
 FIRST = {
@@ -65,13 +78,13 @@ _WORD = r"[^\s\"'(),:;<>\[\]\\@|=]"
 PATTERNS = {
     "email": rf"(?<!{_WORD}){_WORD}++@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+)+",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "secret": r"(?<![0-9A-Za-z])(?=[a-fA-F]{0,127}[0-9])[0-9a-fA-F]{32,128}(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])(?=[a-fA-F]*+[0-9])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])",
     "account": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?![0-9A-Za-z])",
     "card": r"(?<![\d+])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<!\d)\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
     r"|(?<![\d+(])\(\d{3}\) ?\d{3}[ -]\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
-    "name": rf"(?<!\p{{L}}){TITLE}\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"(?<!\p{{L}}){TITLE}{_PARTS}(?: {_PARTS}){{0,3}}",
 }
 #: Back references count over the whole expression; only "card" has a group of its own.
 ANY = "|".join(PATTERNS[k] for k in ("email", "card", "ipv4", "secret", "account", "ssn", "phone", "name"))
@@ -119,7 +132,7 @@ def _norm(kind: Column, surface: Column) -> Column:
         F.when(kind.isin("card", "phone", "ssn"), _digits(surface))
         .when(kind.isin("email", "secret"), F.lower(surface))
         .when(kind == "account", F.replace(surface, F.lit(" "), F.lit("")))
-        .when(kind == "family", F.substring_index(surface, " ", -1))
+        .when(kind == "family", F.regexp_extract(F.regexp_replace(surface, rf"^{TITLE}", ""), _FAMILY, 1))
         .otherwise(surface)
     )
 
@@ -127,10 +140,11 @@ def _norm(kind: Column, surface: Column) -> Column:
 def _named(mentions: DataFrame) -> DataFrame:
     """Mentions with the entity of their first name: `given` is gender and name, null without a first name."""
     title = F.regexp_extract("surface", rf"^({TITLE})", 1)
-    bare = F.rtrim(F.replace(title, F.lit("."), F.lit("")))
+    bare = F.substring_index(F.rtrim(F.replace(title, F.lit("."), F.lit(""))), " ", 1)
     gender = F.when(bare.isin(*MALE), "m").when(bare.isin(*FEMALE), "f").otherwise("n")
     name = F.regexp_replace("surface", rf"^{TITLE}", "")
-    first = F.when((F.col("kind") == "family") & name.contains(" "), F.substring_index(name, " ", 1))
+    before = F.rtrim(F.regexp_replace(name, _FAMILY, ""))
+    first = F.when((F.col("kind") == "family") & (before != ""), before)
     parsed = cut(mentions.select("*", first.alias("first"), gender.alias("gender")))
     known = (
         parsed.filter("first IS NOT NULL AND gender <> 'n'").groupBy("first", "norm").agg(F.min("gender").alias("lo"), F.max("gender").alias("hi"))
@@ -247,11 +261,16 @@ def candidate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
         by_script = []
         for script in SYLLABLES:
             drawn_four = [_pick(SYLLABLES[script], _byte(s, F.lit(i))) for i in (1, 2, 3, 4)]
-            family = F.initcap(F.concat(*drawn_four, _more(s, "family", attempt, SYLLABLES[script])))
+            heads, tails = F.concat(*drawn_four[:2]), F.concat(*drawn_four[2:], _more(s, "family", attempt, SYLLABLES[script]))
+            hyphen = norm.rlike("[-‐‑]")
+            family = F.when(hyphen, F.concat(F.initcap(heads), F.lit("-"), F.initcap(tails))).otherwise(F.initcap(F.concat(heads, tails)))
             first = F.when(sex == "m", _pick(FIRST[script, "m"], _byte(s, F.lit(0)))).otherwise(
                 _pick(FIRST[script, "f"], _byte(s, F.lit(0)))
             )
             first = F.concat(first, _more(s, "given", attempt, SYLLABLES[script]))
+            capitals = [x.upper() for x in sorted({x[0] for x in SYLLABLES[script]})]
+            initials = F.concat(_pick(capitals, _byte(s, F.lit(0))), F.lit("."), _more(s, "given", attempt, [f"{x}." for x in capitals]))
+            first = F.when(F.substring_index(norm, ":", -1).rlike(f"^{_INITIALS}$"), initials).otherwise(first)
             by_script.append(F.when(kind == "given", first).otherwise(family))
         latin, greek, cyrillic = by_script
         part = F.when(norm.rlike(r"\p{IsCyrillic}"), cyrillic).when(norm.rlike(r"\p{IsGreek}"), greek).otherwise(latin)

@@ -1,5 +1,6 @@
 """Surrogates where the first candidates are too few for the entities."""
 
+import random
 import re
 
 import pytest
@@ -95,3 +96,42 @@ def test_a_long_address_and_a_random_key(spark):
     got = replaced(spark, [text])
     assert len(got[0]) == 200_000 + len(got[0]) - got[0].index("@") and got[0] != text
     assert spark.conf.get(pii.KEY_SETTING) and replaced(spark, ["ip 10.0.0.1"]) == replaced(spark, ["ip 10.0.0.1"])
+
+
+def test_no_part_of_a_name_is_left(spark):
+    r = random.Random(4)
+    parts = "McDonald O'Brien Smith-Jones Müller-Lüdenscheidt Jean-Luc D’Angelo d'Arcangelo Picard Weißkopf SMITHERS Łukasz ÉmileZola Κωνσταντίνου Иванова-Петрова MacArthur".split()
+    initials = ["Q.", "X. Y.", "Q.X.", "X.-Q."]
+    particles = ["van der", "Van Der", "von", "De la", "bin", ""]
+    texts, used = [], []
+    for _ in range(400):
+        names = r.sample(parts, r.randrange(1, 4))
+        words = [*r.choices(initials, k=r.randrange(2)), *names[:-1], *([p] if (p := r.choice(particles)) else []), names[-1]]
+        title = r.choice(["Mr ", "Mrs. ", "Dr ", "Herr ", "Prof. Dr. ", "Господин "])
+        texts.append(f"seen by {title}{' '.join(words)}{r.choice([' at nine', ', then', '’s car', chr(10) + 'The End', '. So'])}")
+        used.append(names)
+    got = replaced(spark, texts)
+    for k, names in enumerate(used):
+        assert not any(n.lower() in got[k].lower() or any(len(h) > 3 and h.lower() in got[k].lower() for h in re.split("[-'’]", n)) for n in names), (texts[k], got[k])
+        assert not re.search(r"\b[QX]\.|\b[Vv]an |De la|\bbin ", got[k]), (texts[k], got[k])
+        tail = re.search(r"( at nine|, then|’s car|\nThe End|\. So)$", texts[k])[0]
+        assert got[k].endswith(tail) and got[k].startswith(texts[k][:10])
+
+
+def test_forms_of_names_and_coreference(spark):
+    texts = ["Mr Van Der Berg met Mr Karl Van Der Berg", "Dr J. Weiss and Mr Weiss and Mr Weiss’s", "Mrs Smith-Jones", "Frau DUPONT", "Mr X", "Mr and Mrs", "Dr. who"]
+    got = replaced(spark, texts)
+    one, two = re.fullmatch(r"Mr (\w+) met Mr \w+ (\w+)", got[0]).groups()
+    assert one == two
+    a, b, c = re.fullmatch(r"Dr [A-Z]\.? ?(\w+) and Mr (\w+) and Mr (\w+)’s", got[1]).groups()
+    assert a == b == c != "Weiss"
+    assert re.fullmatch(r"Mrs [A-Z][a-z]+-[A-Z][a-z]+", got[2]) and got[2] != texts[2]
+    assert got[3] != texts[3] and got[4] != texts[4] and (got[5], got[6]) == (texts[5], texts[6])
+
+
+def test_secrets_of_any_length(spark):
+    texts = ["key " + "a1" * n + " end" for n in (16, 64, 65, 500, 4000)]
+    got = replaced(spark, texts)
+    for k, t in enumerate(texts):
+        assert len(got[k]) == len(t) and got[k] != t and got[k].startswith("key ") and got[k].endswith(" end")
+    assert replaced(spark, ["a" * 40, "word" * 10000]) == {0: "a" * 40, 1: "word" * 10000}
