@@ -214,10 +214,8 @@ class Lattice:
 
     def segment(self, stretches: list[str]):
         """Best ids of all stretches one behind the other, their n + 1 offsets, scores, and what second bests cost."""
-        if any(len(x) > LONG for x in stretches) and len(stretches) > 1:
-            parts = [self.segment([x]) for x in stretches]
-            ids, ends = np.concatenate([p[0] for p in parts]), np.cumsum([0, *[len(p[0]) for p in parts]])
-            return ids, ends, *(np.concatenate([p[k] for p in parts]) for k in (2, 3))
+        if len(stretches) > 1 and max(map(len, stretches)) > LONG:
+            return self._apart(stretches)
         sizes = np.array([len(x) for x in stretches], np.int64)
         ends = np.cumsum(sizes)
         begin = ends - sizes
@@ -261,10 +259,44 @@ class Lattice:
         offsets = np.concatenate((place, [len(ids)]))[np.searchsorted(of[path], np.arange(len(sizes) + 1))]
         return ids, offsets, score, score - other
 
+    def _apart(self, stretches: list[str]):
+        """`segment` with each long stretch alone and all others together, in the given order."""
+        is_long = np.array([len(x) > LONG for x in stretches])
+        order = np.concatenate([np.flatnonzero(~is_long), np.flatnonzero(is_long)])
+        parts = [self.segment([stretches[k] for k in np.flatnonzero(~is_long)])] if not is_long.all() else []
+        parts += [self.segment([stretches[k]]) for k in np.flatnonzero(is_long)]
+        lengths = np.empty(len(stretches), np.int64)
+        lengths[order] = np.concatenate([np.diff(p[1]) for p in parts])
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        # The places that the ids of the parts, one behind the other, take.
+        done = lengths[order]
+        place = np.arange(int(done.sum())) + np.repeat(ends[order] - (np.cumsum(done) - done), done)
+        ids = np.empty(len(place), np.uint32)
+        ids[place] = np.concatenate([p[0] for p in parts])
+        scores = np.empty((2, len(stretches)))
+        for k in range(2):
+            scores[k, order] = np.concatenate([p[k + 2] for p in parts])
+        return ids, ends, scores[0], scores[1]
+
+    @staticmethod
+    def _relax_singly(order, source, target, weight, best, into) -> None:
+        """_relax edge by edge, for places with few edges each."""
+        sums, last = best.tolist(), -1
+        for edge, a, z, w in zip(order.tolist(), source[order].tolist(), target[order].tolist(), weight[order].tolist()):
+            reach = sums[a] + w
+            if z != last or reach > sums[z]:
+                sums[z] = reach
+                if into is not None:
+                    into[z] = edge
+            last = z
+        best[:] = sums
+
     @staticmethod
     def _relax(order, place, source, target, weight, best, into) -> None:
         """Best sums along edges in the order of their place; edges of one target stand together."""
         cuts = np.flatnonzero(np.diff(place, prepend=-1))
+        if len(order) < 32 * len(cuts):
+            return Lattice._relax_singly(order, source, target, weight, best, into)
         for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
             edges = order[lo:hi]
             to = target[edges]

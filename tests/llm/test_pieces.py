@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -95,3 +96,29 @@ def test_decoding_equals_the_library_and_round_trips(spark, model):
     back = P.decode(P.encode(df, PATH, 1).select("doc_id", F.col("segmentations")[0].alias("ids")), PATH)
     assert {r.doc_id: r.text for r in back.collect()} == {i: (t or "").replace("▁", " ") for i, t in enumerate(texts)}
     assert P.encode(df.limit(0), PATH).count() == 0
+
+
+def test_long_stretches_change_nothing_for_others(model):
+    r = random.Random(8)
+    words = [P.SPACE + "".join(r.choices("abcdeéß漢\U0001f600", k=r.randrange(1, 9))) for _ in range(300)]
+    longs = [P.SPACE + "".join(r.choices("abc é".replace(" ", ""), k=n)) for n in (P.LONG + 1, 5000)]
+    mixed = [*words[:100], longs[0], *words[100:], longs[1]]
+    ids, ends, score, margin = model.segment(mixed)
+    for k, stretch in enumerate(mixed):
+        one = model.segment([stretch])
+        assert ids[ends[k] : ends[k + 1]].tolist() == one[0].tolist()
+        assert (score[k], margin[k]) == (one[2][0], one[3][0])
+
+
+def test_one_very_long_word_is_cheap(model):
+    r = random.Random(9)
+    words = list({P.SPACE + "".join(r.choices("abcdefghij", k=7)) for _ in range(20_000)})
+    began = time.process_time()
+    model.segment(words)
+    plain = time.process_time() - began
+    began = time.process_time()
+    model.segment([*words, P.SPACE + "x" * 2000])
+    assert time.process_time() - began < 2 * plain + 1
+    began = time.process_time()
+    model.segment([P.SPACE + "ab" * 100_000])
+    assert time.process_time() - began < 15
