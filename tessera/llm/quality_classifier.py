@@ -5,9 +5,10 @@ to 2^BITS places. For each place r = log of the ratio of its smoothed shares in
 is its indicators times r, scaled to length 1. A linear hinge-loss model (squared norm penalty, class weights that
 balance the classes) is fitted by dual coordinate descent.
 
-The fit takes at most `SAMPLE` labelled rows of each class, drawn by a hash of doc_id (the least hashes first), so
-neither driver nor model grows with the input: each drawn doc_id gives one text (the least of several), and those longer
-than `SAMPLE_TEXT` bytes are not learnt from, so at most 2 * SAMPLE * SAMPLE_TEXT bytes are collected. The model is one vector of 2^BITS numbers. Every row is scored on
+The fit takes at most `SAMPLE` labelled rows of each class, drawn by a hash of doc_id (the least hashes first)
+among those whose text has at most `SAMPLE_TEXT` bytes, so neither driver nor model grows with the input: each drawn doc_id
+gives one text (the shortest, then least, of several), and at most 2 * SAMPLE * SAMPLE_TEXT bytes are collected. A class of
+longer texts only is learnt from its `SPARE` shortest ones. The model is one vector of 2^BITS numbers. Every row is scored on
 its whole text, one by one: score = 1 / (1 + exp(-SHARPNESS * margin)).
 
 Defined results: a null text counts as empty and is scored by the bias alone, as are texts shorter than NGRAM bytes.
@@ -24,13 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens
-from tessera.llm.common import text_of
+from tessera.llm.common import stage_table, text_of
 
 NGRAM = 3
 BITS = 18
 SAMPLE = 3000
 #: Bytes of the longest text that is learnt from; every text is scored whole.
 SAMPLE_TEXT = 1 << 14
+#: Texts that a class without any of that size is learnt from, the shortest first.
+SPARE = 16
 PENALTY = 1.0
 EPOCHS = 30
 SHARPNESS = 2.0
@@ -111,7 +114,8 @@ def fit(texts, labels: np.ndarray, penalty: float = PENALTY, epochs: int = EPOCH
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, **options) -> Model:
-    """Fits on at most `sample` labelled rows of each class outside the held-out fold."""
+    """Fits on at most `sample` labelled rows of each class outside the held-out fold, drawn among texts of at most
+    SAMPLE_TEXT bytes; of a class without any, on its SPARE shortest ones."""
     known = (
         labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("y"))
         .filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -119,14 +123,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         .agg(F.min("y").alias("y"))
         .withColumn("draw", F.xxhash64("doc_id"))
     )
+    size = F.octet_length(text_of()).alias("size")
+    sized = stage_table(docs.select("doc_id", size).groupBy("doc_id").agg(F.min("size").alias("size")).join(known, "doc_id"))
     drawn = None
     for y in (0, 1):
-        part = known.filter(F.col("y") == y).orderBy("draw", "doc_id").limit(sample)
+        own = sized.filter(F.col("y") == y)
+        part = own.filter(F.col("size") <= SAMPLE_TEXT).orderBy("draw", "doc_id").limit(sample)
+        if part.isEmpty():
+            part = own.orderBy("size", "draw", "doc_id").limit(SPARE)
         drawn = part if drawn is None else drawn.unionByName(part)
     rows = (
         docs.select("doc_id", text_of().alias("text"))
-        .filter(F.octet_length("text") <= SAMPLE_TEXT)
-        .join(F.broadcast(drawn), "doc_id")
+        .withColumn("size", F.octet_length("text"))
+        .join(F.broadcast(drawn), ["doc_id", "size"])
         .groupBy("doc_id", "draw", "y")
         .agg(F.min("text").alias("text"))
         .orderBy("draw", "doc_id", "text")

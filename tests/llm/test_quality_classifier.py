@@ -45,3 +45,12 @@ def test_nulls_no_labels_one_class_and_clashing_columns(spark):
     assert len(rows) == 4 and {r.predicted for r in rows} == {0}
     assert not [r for r in rows if r.doc_id is None and r.held_out]
     assert Q.score(docs.limit(0), Q.train(docs, none)).count() == 0
+
+
+def test_a_class_of_long_texts_is_learnt_from(spark):
+    long, short = "good words " * 3000, "bad stuff here"
+    rows = [(3 * i, (long if i % 2 else short) + f" {i}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(t.startswith("good"))) for d, t in rows], "doc_id long, quality int")
+    got = Q.score(docs, Q.train(docs, labels)).join(labels, "doc_id").collect()
+    assert all(r.predicted == r.quality for r in got)
