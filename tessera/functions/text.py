@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 #: Salt words that may end a name.
 SALTS = (
-    "hydrochloride hydrobromide monohydrate dihydrate trihydrate sulfate sulphate phosphate acetate citrate maleate "
-    "fumarate tartrate succinate mesylate besylate tosylate nitrate chloride bromide sodium potassium calcium magnesium"
-).split()
+    *"mesylate mesilate hydrochloride hcl sulfate sulphate sodium potassium calcium acetate maleate fumarate".split(),
+    *"hemifumarate tartrate besylate besilate succinate phosphate citrate bromide chloride nitrate tosylate".split(),
+    *("trihydrate", "dihydrate", "monohydrate", "disoproxil fumarate", "alafenamide", "proxetil", "medoxomil", "axetil"),
+    *"pivoxil cilexetil stearate palmitate decanoate valerate propionate dipropionate furoate".split(),
+    *("hydrobromide", "magnesium"),
+)
 
 
 def squeeze(x: Column) -> Column:
@@ -19,10 +22,11 @@ def squeeze(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(x, r"^\s+|\s+$", ""), r"\s+", " ")
 
 
-def strip_suffix(name: Column, suffixes: tuple[str, ...] | list[str]) -> Column:
-    """Upper-cased name without one trailing word of `suffixes`; words are matched whole and case-insensitively."""
-    words = "|".join(s.upper() for s in suffixes)
-    return F.regexp_replace(F.upper(F.trim(name)), rf"\s+(?:{words})S?\s*$", "")
+def strip_suffix(name: Column, suffixes: tuple[str, ...] | list[str], plural: bool = True) -> Column:
+    """Upper-cased name without one trailing word of `suffixes`; words are matched whole and case-insensitively, with
+    `plural` also with an S behind."""
+    words = "|".join(s.upper().replace(" ", r"\s+") for s in suffixes)
+    return F.regexp_replace(F.upper(F.trim(name)), rf"\s+(?:{words}){'S?' if plural else ''}\s*$", "")
 
 
 def strip_first(name: Column, patterns: list[str], least: int = 3) -> Column:

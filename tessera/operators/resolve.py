@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.functions.text import token_sort
+from tessera.operators.batches import numbered_within
+from tessera.operators.passjoin import ratio_join
+from tessera.session import stage
+
 
 def any_key_join(left: DataFrame, right: DataFrame, keys: list[tuple[Column, Column]], ids: list[str]) -> DataFrame:
     """Pairs that agree in any of several keys, as a union of equi-joins; `ids` names the columns of a pair."""
@@ -64,3 +69,119 @@ def containing(texts: DataFrame, terms: DataFrame, text: str, term: str, key: st
     hits = met.select(key, term).join(texts.select(key, text), key).filter(F.contains(text, term))
     best = F.min(F.struct((-F.length(term)).alias("less"), F.col(term).alias("term"))).alias("best")
     return hits.groupBy(key).agg(best).select(key, F.col("best.term").alias(term))
+
+
+def claims(candidates: DataFrame, source: str, target: str, order: list[str], rank: list[str], keeps: Column) -> DataFrame:
+    """What a program finds that goes through the sources in `order` and gives each the best candidate (by `rank`) that is
+    still free: the candidates that are taken, one row for each source at most.
+
+    `candidates` has one row for each (source, target). Where `keeps` holds, a taken target stays free for others.
+    Sources and targets are matched by deferred acceptance: all open sources ask for their best target at once; a target
+    goes to the first source in order that takes it away, and all later ones lose it for good. Since all targets rank
+    sources alike, this ends in the same pairs as the program, in few rounds of two aggregates each. Sources with the
+    same list of candidates would lose one round after the other: the n-th of them, if they all take their targets away,
+    gets none of the first n - 1 of the list, which are left out at the start.
+    """
+    turn, best = F.struct(*order, source), F.struct(*rank, target)
+    rows = candidates.select("*", turn.alias("_turn"), best.alias("_best"), keeps.alias("_keeps"))
+    rows = stage(rows.withColumn("_place", F.row_number().over(W.partitionBy(source).orderBy("_best")) - 1))
+    hashes = [F.sum(F.xxhash64(F.lit(k), "_best").cast("decimal(38,0)")).alias(f"_h{k}") for k in (1, 2)]
+    lists = rows.groupBy(source, *order).agg(F.count("*").alias("_size"), *hashes, F.bool_or("_keeps").alias("_any")).filter("NOT _any")
+    waiting = numbered_within(lists, ["_size", "_h1", "_h2"], [*order, source], "_before").select(source, "_before")
+    rows = stage(rows.join(waiting, source, "left").filter("_before IS NULL OR _place >= _before").drop("_before", "_place"))
+    while True:
+        top = rows.groupBy(source).agg(F.min_by(F.struct(target, "_turn", "_keeps"), "_best").alias("_top"))
+        # The first that takes a target away; those that leave it free ask as long as none before them does.
+        holder = top.filter("NOT _top._keeps").groupBy(F.col(f"_top.{target}").alias(target)).agg(F.min("_top._turn").alias("_holder"))
+        left = rows.join(holder, target, "left").filter(F.col("_holder").isNull() | (F.col("_turn") <= F.col("_holder"))).drop("_holder")
+        before, rows = rows, stage(left)
+        if rows.count() == before.count():
+            break
+    taken = rows.groupBy(source).agg(F.min("_best").alias("_taken"))
+    return rows.join(taken, source).filter(F.col("_best") == F.col("_taken")).drop("_turn", "_best", "_keeps", "_taken")
+
+
+def name_candidates(sources: DataFrame, targets: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """Candidates source, target, step, matched by name: equal (1), a name that the source's begins (2), then synonyms
+    equal (3) or begun (4); the best row of each pair. Names are compared without case.
+
+    sources: source, name; targets: target, name; synonyms: target, name.
+    """
+    s = sources.select("source", F.lower("name").alias("key")).filter(F.length("key") > 0)
+    out = None
+    for step, known in ((1, targets), (3, synonyms)):
+        t = known.select("target", F.lower("name").alias("matched"))
+        equal = s.join(t, F.col("key") == F.col("matched")).select("source", "target", F.lit(step).alias("step"), "matched")
+        starts = begun(s.select("key").distinct(), t.select("matched").distinct(), "key", "matched")
+        longer = s.join(starts, "key").join(t, "matched").select("source", "target", F.lit(step + 1).alias("step"), "matched")
+        both = equal.unionByName(longer)
+        out = both if out is None else out.unionByName(both)
+    best = F.min(F.struct("step", "matched")).alias("best")
+    return out.groupBy("source", "target").agg(best).select("source", "target", "best.step", "best.matched")
+
+
+def begun(heads: DataFrame, texts: DataFrame, head: str, text: str) -> DataFrame:
+    """Pairs in which `head` properly begins `text`: head, text. A text meets the heads of each of its lengths by an
+    equi-join, so that no block of common beginnings is compared pair by pair."""
+    lengths = heads.select(F.length(head).alias("n")).distinct()
+    cut = texts.join(F.broadcast(lengths), F.col("n") < F.length(text)).select(text, F.left(text, F.col("n")).alias(head))
+    return cut.join(heads, head, "left_semi").select(head, text)
+
+
+def update_by_name(sources: DataFrame, targets: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """What becomes of each source row (source, name, value) in order of source: target, step (of name_candidates) and
+    action: filled or changed (the target, which no later source gets), already_correct, or inserted as a new row.
+
+    targets: target, name, value; synonyms: target, name.
+    """
+    found = name_candidates(sources, targets, synonyms)
+    new, old = sources.select("source", F.col("value").alias("new")), targets.select("target", F.col("value").alias("old"))
+    found = found.join(new, "source").join(old, "target")
+    taken = claims(found, "source", "target", [], ["step", "matched"], F.col("new").eqNullSafe(F.col("old")))
+    action = (
+        F.when(F.col("target").isNull(), "inserted")
+        .when(F.col("new").eqNullSafe(F.col("old")), "already_correct")
+        .when(F.col("old").isNull(), "filled")
+        .otherwise("changed")
+    )
+    return sources.select("source").join(taken, "source", "left").select("source", "target", "step", action.alias("action"))
+
+
+#: Levels of dedup_levels and the least ratios of the fuzzy ones.
+LEVELS = {0: "none", 1: "exact", 2: "synonym", 3: "high", 4: "medium", 5: "low"}
+RATIOS = {3: 90, 4: 75, 5: 60}
+
+
+def dedup_levels(skeletons: DataFrame, targets: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """The best target of each skeleton (id, name): level, category, score and target; level 0 where none is near.
+
+    targets: id, name; synonyms: synonym, id. Levels in order: equal names, a synonym, then edit ratios of the names with
+    sorted words. Of equally good targets the least id is taken. Only skeletons without a target go to the edit join,
+    each distinct name once.
+    """
+    s = stage(skeletons.select("id", "name", F.lower(F.trim("name")).alias("key")))
+    plain = F.lower(F.trim("name"))
+    exact = s.join(targets.groupBy(plain.alias("key")).agg(F.min("id").alias("target")), "key")
+    exact = stage(exact.select("id", "target", F.lit(1).alias("level"), F.lit(100.0).alias("score")))
+    open_rows = s.join(exact, "id", "left_anti")
+    by_synonym = open_rows.join(synonyms.groupBy(F.lower(F.trim("synonym")).alias("key")).agg(F.min(synonyms["id"]).alias("target")), "key")
+    by_synonym = stage(by_synonym.select("id", "target", F.lit(2).alias("level"), F.lit(100.0).alias("score")))
+    open_rows = stage(open_rows.join(by_synonym, "id", "left_anti").withColumn("a", token_sort(F.col("key"))))
+    known = stage(targets.groupBy(token_sort(plain).alias("b")).agg(F.min("id").alias("target")))
+    near = ratio_join(open_rows, known, "a", "b", min(RATIOS.values())).join(known, "b")
+    best = near.groupBy("a").agg(F.min(F.struct((-F.col("ratio")).alias("less"), "target")).alias("best"))
+    score = -F.col("best.less")
+    level = F.when(score >= RATIOS[3], 3).when(score >= RATIOS[4], 4).otherwise(5)
+    fuzzy = open_rows.join(best, "a").select("id", "best.target", level.alias("level"), score.alias("score"))
+    found = exact.unionByName(by_synonym).unionByName(fuzzy)
+    names = F.create_map(*[F.lit(x) for pair in LEVELS.items() for x in pair])
+    out = s.join(found, "id", "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    return out.select("id", "name", "level", names[F.col("level")].alias("category"), F.round("score", 6).alias("score"), "target")
+
+
+def applicable(levels: DataFrame, targets: DataFrame, excluded: list[str]) -> DataFrame:
+    """The rows of dedup_levels that are applied (id, target, level): up to level 3, no excluded name (in lower case), and
+    targets (id, taken) without an identifier."""
+    safe = levels.filter((F.col("level").between(1, 3)) & ~F.lower("name").isin(*excluded))
+    free = targets.filter("taken IS NULL").select(F.col("id").alias("target"))
+    return safe.join(free, "target", "left_semi").select("id", "target", "level")

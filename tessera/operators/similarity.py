@@ -28,33 +28,3 @@ def trigram_join(left: DataFrame, right: DataFrame, a: str, b: str, at_least: fl
     pairs = side(left, a, "a").join(side(right, b, "b"), "g").filter(fits).drop("g").dropDuplicates(["a", "b"])
     n = F.size(F.array_intersect("ga", "gb"))
     return pairs.select("a", "b", (n / (F.col("na") + F.col("nb") - n)).alias("similarity")).filter(F.col("similarity") >= at_least)
-
-
-def _blocks(x: Column, most: int, q: int) -> Column:
-    """Blocking keys: the distinct q-grams, and one common key of strings too short for the q-gram count to help."""
-    grams = F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x) - q + 1)), lambda i: F.substring(x, i, F.lit(q)))
-    )
-    return F.when(F.length(x) < q * (most + 1) + most, F.concat(grams, F.array(F.lit("")))).otherwise(grams)
-
-
-def edit_join(left: DataFrame, right: DataFrame, a: str, b: str, most: int, q: int = 2) -> DataFrame:
-    """Pairs of values at an edit distance of at most `most`: a, b, distance.
-
-    `most` edits destroy at most q * most of the length - q + 1 q-grams, so longer strings share one.
-    """
-    x = left.select(F.col(a).alias("a")).distinct().withColumn("k", F.explode(_blocks(F.col("a"), most, q)))
-    y = right.select(F.col(b).alias("b")).distinct().withColumn("k", F.explode(_blocks(F.col("b"), most, q)))
-    near = F.abs(F.length("a") - F.length("b")) <= most
-    return (
-        x.join(y, "k").filter(near).select("a", "b").distinct()
-        .withColumn("distance", F.levenshtein("a", "b").cast("long")).filter(F.col("distance") <= most)
-    )
-
-
-def prefix_join(left: DataFrame, right: DataFrame, a: str, b: str, block: int = 3) -> DataFrame:
-    """Pairs in which a value of `a` properly starts a value of `b`; values of `a` have at least `block` characters."""
-    x = left.select(F.col(a).alias("a")).distinct().filter(F.length("a") >= block)
-    y = right.select(F.col(b).alias("b")).distinct()
-    x, y = x.withColumn("k", F.left("a", F.lit(block))), y.withColumn("k", F.left("b", F.lit(block)))
-    return x.join(y, "k").filter(F.col("b").startswith(F.col("a")) & (F.col("a") != F.col("b"))).select("a", "b")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import keys, text
-from tessera.operators import rank, similarity
+from tessera.operators import passjoin, rank, similarity
+from tessera.operators.resolve import begun
 from tessera.plans.base import query
 from tessera.sources.tables import table
 
@@ -52,7 +53,7 @@ SELECT a, b, distance, ratio, CASE WHEN ratio >= 90 THEN 'high' WHEN ratio >= 75
 def edit_ratio_bands(spark, sf_dir):
     """Pairs of names at an edit distance of 3 or less, banded by ratio."""
     n = _names(spark, sf_dir)
-    pairs = similarity.edit_join(n, n, "p_name", "p_name", 3).filter("a < b").withColumn("ratio", text.edit_ratio(F.col("a"), F.col("b")))
+    pairs = passjoin.edit_join(n, n, "p_name", "p_name", 3).filter("a < b").withColumn("ratio", text.edit_ratio(F.col("a"), F.col("b")))
     return pairs.withColumn("band", F.when(F.col("ratio") >= 90, "high").when(F.col("ratio") >= 75, "middle").otherwise("low"))
 
 
@@ -71,7 +72,7 @@ SELECT a, b FROM (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY length
 def prefix_join(spark, sf_dir):
     """The shortest name that each first word properly starts."""
     first = table(spark, sf_dir, "part").select(F.split("p_name", " ")[0].alias("w")).distinct()
-    pairs = similarity.prefix_join(first, _names(spark, sf_dir), "w", "p_name")
+    pairs = begun(first.filter(F.length("w") >= 3), _names(spark, sf_dir), "w", "p_name").toDF("a", "b")
     return rank.first_of(pairs, ["a"], [F.length("b"), F.col("b")])
 
 
@@ -150,7 +151,7 @@ def _candidates(spark, sf_dir):
         return hit.select("c_custkey", F.lit(step).alias("step"), "id", F.lit(label).alias("label"), (length if length is not None else F.lit(0)).alias("len"), "p_name")
 
     stripped = F.lower(text.strip_suffix(F.col("name"), text.SALTS))
-    starts = similarity.prefix_join(wanted.select(F.lower("name").alias("w")), known, "w", "p_name")
+    starts = begun(wanted.select(F.lower("name").alias("w")).filter(F.length("w") >= 3).distinct(), known.select("p_name"), "w", "p_name").toDF("a", "b")
     prefix = (
         wanted.withColumn("a", F.lower("name")).join(starts, "a").join(known, F.col("b") == F.col("p_name"))
         .select("c_custkey", F.lit(4).alias("step"), "id", F.lit("prefix").alias("label"), F.length("p_name").alias("len"), "p_name")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import jsonx, keys, text
-from tessera.operators import enrich, merge, rank, similarity
+from tessera.operators import enrich, merge, passjoin, rank, similarity
 from tessera.plans.documents import chunks
 
 
@@ -42,7 +42,7 @@ def test_edit_join_loses_no_pair(spark, most):
     r = random.Random(most)
     names = sorted({"".join(r.choices("ab", k=r.randrange(1, 16))) for _ in range(80)})
     df = spark.createDataFrame([(n,) for n in names], "x string")
-    got = {(a, b) for a, b, _ in values(similarity.edit_join(df, df, "x", "x", most))}
+    got = {(a, b) for a, b, _ in values(passjoin.edit_join(df, df, "x", "x", most))}
 
     def distance(a, b):
         row = list(range(len(b) + 1))
