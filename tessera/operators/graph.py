@@ -1,29 +1,75 @@
-"""Patterns over an edge table (src, dst, type), at most two hops."""
+"""Patterns over an edge table (src, dst, type), at most two hops.
+
+Two sources meet in a target, so a hub with d sources has d * d ways through it. Targets with up to `WAYS` ways are
+joined as they are; those with more are split: one side of the hub is dealt into parts, the other goes to every part, so
+that no task makes more than about WAYS pairs of one hub.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import stage
+
+WAYS = 1 << 20
+#: Hubs that are broadcast at most; more are joined by a shuffle.
+FEW_HUBS = 100_000
+
+
+def _meetings(x: DataFrame, y: DataFrame, ways: int = WAYS) -> DataFrame:
+    """Pairs (a, b, dst) of the rows (a, dst) of x and (b, dst) of y."""
+    n_x, n_y = (side.groupBy("dst").agg(F.count("*").alias(f"n_{c}")) for side, c in ((x, "x"), (y, "y")))
+    crowd = F.col("n_x") * F.col("n_y")
+    hubs = n_x.join(n_y, "dst").filter(crowd > ways)
+    hubs = stage(hubs.select("dst", F.least(F.ceil(crowd / ways), F.greatest("n_x", "n_y")).cast("int").alias("parts"), (F.col("n_x") >= F.col("n_y")).alias("deal_x")))
+    few = hubs.count()
+    plain = x.join(y, "dst")
+    if not few:
+        return plain.select("a", "b", "dst")
+    hubs = F.broadcast(hubs) if few <= FEW_HUBS else hubs
+    light = x.join(hubs.select("dst"), "dst", "left_anti").join(y, "dst").select("a", "b", "dst")
+
+    def dealt(side: DataFrame, c: str, own: bool) -> DataFrame:
+        part = F.array(F.pmod(F.xxhash64(c), F.col("parts")).cast("int"))
+        every = F.sequence(F.lit(0), F.col("parts") - 1)
+        return side.join(hubs, "dst").select(c, "dst", F.explode(F.when(F.col("deal_x") == F.lit(own), part).otherwise(every)).alias("part"))
 
-def two_hop(edges: DataFrame, first: str, second: str) -> DataFrame:
+    heavy = dealt(x, "a", True).join(dealt(y, "b", False), ["dst", "part"]).select("a", "b", "dst")
+    return light.unionByName(heavy)
+
+
+def _of(edges: DataFrame, kind: str, name: str) -> DataFrame:
+    return edges.filter(F.col("type") == kind).select(F.col("src").alias(name), "dst")
+
+
+def two_hop(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> DataFrame:
     """Pairs of sources that meet in a target, one by each type: a, b, paths."""
-    e = edges.distinct()
-    x = e.filter(F.col("type") == first).select(F.col("src").alias("a"), "dst")
-    y = e.filter(F.col("type") == second).select(F.col("src").alias("b"), "dst")
-    return x.join(y, "dst").filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("paths"))
+    e = stage(edges.distinct())
+    met = _meetings(_of(e, first, "a"), _of(e, second, "b"), ways).filter("a <> b")
+    return met.groupBy("a", "b").agg(F.count("*").alias("paths"))
+
 
+def alternatives(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> DataFrame:
+    """Sources that share a target by each of two types, both directions: a, b.
 
-def alternatives(edges: DataFrame, first: str, second: str) -> DataFrame:
-    """Sources that share a target by each of two types, both directions: a, b."""
+    The type with fewer ways is expanded first. Of the other type, only edges of sources that are still in a pair are,
+    and the pairs of both meet by an equi-join.
+    """
+    e = stage(edges.select("src", "dst", "type").distinct())
+    crowds = e.groupBy("type", "dst").agg(F.count("*").alias("n")).groupBy("type").agg(F.sum(F.col("n") * F.col("n")).alias("ways"))
+    ways_of = {r["type"]: r["ways"] for r in crowds.filter(F.col("type").isin(first, second)).collect()}
+    rare, common = sorted((first, second), key=lambda t: ways_of.get(t, 0))
 
-    def sharing(kind: str) -> DataFrame:
-        e = edges.filter(F.col("type") == kind).select("src", "dst").distinct()
-        x, y = e.select(F.col("src").alias("a"), "dst"), e.select(F.col("src").alias("b"), "dst")
-        return x.join(y, "dst").filter("a < b").select("a", "b").distinct()
+    def sharing(rows: DataFrame) -> DataFrame:
+        met = _meetings(rows.withColumnRenamed("src", "a"), rows.withColumnRenamed("src", "b"), ways)
+        return met.filter("a < b").select("a", "b").distinct()
 
-    pairs = sharing(first).join(sharing(second), ["a", "b"], "left_semi")
-    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = stage(sharing(e.filter(F.col("type") == rare).select("src", "dst")))
+    alive = pairs.select(F.col("a").alias("src")).unionByName(pairs.select(F.col("b").alias("src"))).distinct()
+    rest = e.filter(F.col("type") == common).join(alive, "src", "left_semi").select("src", "dst")
+    both = pairs.join(sharing(rest), ["a", "b"], "left_semi")
+    return both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def without(nodes: DataFrame, edges: DataFrame, key: str, kind: str) -> DataFrame:

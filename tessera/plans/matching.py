@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import keys, text
-from tessera.operators import passjoin, rank, similarity
+from tessera.operators import passjoin, rank, similarity, vectors
 from tessera.operators.resolve import begun
 from tessera.plans.base import query
 from tessera.sources.tables import table
@@ -190,8 +190,7 @@ SELECT query_id, vec_id, round(similarity, 4) AS similarity FROM (
 def vector_topk(spark, sf_dir):
     """Five nearest vectors of the same label for every fiftieth vector (the feature: a stated query set, top-k)."""
     rows = table(spark, sf_dir, "embeddings")
-    queries = rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "label", F.col("embedding").alias("q"))
-    pairs = queries.join(rows, "label").filter("vec_id <> query_id")
-    scored = pairs.select("query_id", "vec_id", F.round(text.cosine(F.col("q"), F.col("embedding")), 9).alias("similarity"))
-    best = rank.first_of(scored, ["query_id"], [F.col("similarity").desc(), F.col("vec_id")], 5)
+    rows = rows.select("vec_id", F.col("label").alias("grp"), F.col("embedding").alias("vector"))
+    queries = rows.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    best = vectors.nearest(rows, queries, 5)
     return best.select("query_id", "vec_id", F.round("similarity", 4).alias("similarity"))

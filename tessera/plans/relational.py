@@ -6,8 +6,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.jsonx import is_blank_text
-from tessera.operators import enrich, graph, merge, rank
+from tessera.operators import batches, enrich, graph, merge, quantile, rank
 from tessera.plans.base import query
+from tessera.session import stage
 from tessera.sources.tables import table
 
 
@@ -97,13 +98,46 @@ def group_size_hist(spark, sf_dir):
     return _orders_per_customer(spark, sf_dir).groupBy("n").agg(F.count("*").alias("customers"))
 
 
+_GRAPH_HUBS = """
+WITH h AS (SELECT p_partkey AS src, length(p_type) % 5 AS dst, 'kind' AS type FROM part WHERE p_size < 4
+  UNION ALL SELECT p_partkey, CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS BIGINT) % 5, 'brand' FROM part WHERE p_size < 4)"""
+
+
 @query(_PER_CUSTOMER + """
 SELECT min(n) AS least, max(n) AS most, round(avg(n), 4) AS mean, CAST(quantile_cont(n, 0.5) AS DOUBLE) AS middle FROM g""")
 def group_size_stats(spark, sf_dir):
     """Extremes, mean and median of group sizes, with empty groups."""
-    return _orders_per_customer(spark, sf_dir).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.round(F.avg("n"), 4).alias("mean"), F.median("n").alias("middle")
-    )
+    sizes = stage(_orders_per_customer(spark, sf_dir))
+    middle = F.lit(quantile.quantile(sizes, "n")).cast("double").alias("middle")
+    return sizes.agg(F.min("n").alias("least"), F.max("n").alias("most"), F.round(F.avg("n"), 4).alias("mean")).select("*", middle)
+
+
+@query("SELECT event_type, CAST(quantile_cont(value, 0.25) AS DOUBLE) AS lower, CAST(quantile_cont(value, 0.5) AS DOUBLE) AS middle, CAST(quantile_cont(value, 0.9) AS DOUBLE) AS upper FROM events GROUP BY event_type")
+def exact_quantiles(spark, sf_dir):
+    """Exact quantiles of the values of each event type, by selection."""
+    rows = table(spark, sf_dir, "events").select("event_type", "value")
+    kinds = [r[0] for r in rows.select("event_type").distinct().orderBy("event_type").collect()]
+    found = [(k, *[quantile.quantile(rows.filter(F.col("event_type").eqNullSafe(k)), "value", q) for q in (0.25, 0.5, 0.9)]) for k in kinds]
+    return spark.createDataFrame(found, "event_type string, lower double, middle double, upper double")
+
+
+@query("""
+WITH b AS (SELECT o_orderkey, ntile(32) OVER (ORDER BY o_orderkey) AS batch FROM orders)
+SELECT batch, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM b GROUP BY batch""")
+def equal_batches(spark, sf_dir):
+    """Batches of the whole table by key, of sizes that differ by one at most."""
+    rows = batches.equal_batches(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 32)
+    return rows.groupBy("batch").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+
+
+@query(_GRAPH_HUBS + " SELECT x.src AS a, y.src AS b, count(*) AS paths FROM h x JOIN h y ON x.dst = y.dst AND x.type = 'kind' AND y.type = 'brand' AND x.src <> y.src GROUP BY ALL")
+def graph_hubs(spark, sf_dir):
+    """Two hops over hubs: parts of a size below 4 that meet in a type by one edge and in a brand's number by another."""
+    part = table(spark, sf_dir, "part").filter("p_size < 4")
+    number = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("long") % 5
+    edges = part.select(F.col("p_partkey").alias("src"), (F.length("p_type") % 5).cast("long").alias("dst"), F.lit("kind").alias("type"))
+    edges = edges.unionByName(part.select(F.col("p_partkey").alias("src"), number.alias("dst"), F.lit("brand").alias("type")))
+    return graph.two_hop(edges, "kind", "brand", ways=1000)
 
 
 @query("SELECT event_type, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 4) AS pct FROM events GROUP BY 1")
