@@ -64,6 +64,8 @@ STAR_ROUNDS = 2
 #: Members of a long list that one task compares with as many others.
 BLOCK = 1024
 BUCKET_POSTINGS = 1 << 20
+#: Shingles that a task gathers before it counts them; half as many postings before it packs them.
+BUFFERED = 800_000
 #: Stands for a null doc_id in joins.
 NO_ID = -(1 << 63)
 
@@ -104,12 +106,6 @@ def overlap_bound(x: bytes, y: bytes) -> int:
     return int(np.minimum(short, long.reshape(len(short), -1).sum(1)).sum())
 
 
-def _batches(source, rows: int = 1000):
-    for batch in source:
-        for i in range(0, batch.num_rows, rows):
-            yield batch.slice(i, rows)
-
-
 def subset_sizes(n: int, boundary: int, percent: int = PERCENT) -> list[int]:
     """Sizes of the subsets that a set of size n lists: those that partners of which one is small can need."""
     most = n * 100 // percent if n <= boundary else boundary
@@ -190,7 +186,7 @@ def _measure(percent: int, width: int):
             parts, held = [], 0
 
         sigs = set()
-        for batch in _batches(source):
+        for batch in tokens.slices(source, 2, size=1 << 23):
             sig, n, sketches = [], [], []
             for s in shingle_sets(batch.column(2), width):
                 sig.append(signature(s))
@@ -201,7 +197,7 @@ def _measure(percent: int, width: int):
                     sketches[-1] = sketch(s)
                     parts.append(s)
                     held += len(s)
-            if held > 2_000_000:
+            if held > BUFFERED:
                 frequent()
             yield row_batch(len(n), doc_id=batch.column(0), text_key=batch.column(1), sig=sig, n=n, sketch=sketches)
         frequent()
@@ -243,7 +239,7 @@ def _postings(heavy: np.ndarray, rank: np.ndarray, boundary: int, buckets: int,
 
     def run(source):
         sigs, rows, held = set(), [], 0
-        for batch in _batches(source):
+        for batch in tokens.slices(source, 0, size=1 << 23):
             for s in shingle_sets(batch.column(0), width):
                 sig = signature(s)
                 if len(s) and sig not in sigs:
@@ -251,7 +247,7 @@ def _postings(heavy: np.ndarray, rank: np.ndarray, boundary: int, buckets: int,
                     new = of(s, sig)
                     rows += new
                     held += sum(map(len, new))
-            if held > 700_000:
+            if held > BUFFERED // 2:
                 yield packed(rows)
                 rows, held = [], 0
         if rows:
@@ -337,7 +333,7 @@ def _blocks(percent: int, bins: int = 64):
 
 def _sets(width: int):
     def run(source):
-        for batch in _batches(source):
+        for batch in tokens.slices(source, 0, size=1 << 23):
             sets = list(shingle_sets(batch.column(0), width))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([signature(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],

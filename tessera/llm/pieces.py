@@ -48,9 +48,9 @@ NBEST = 4
 #: Added to ranks in the Zipf-Mandelbrot law.
 OFFSET = 100
 #: N-best lists of stretches that a task remembers, in each of two generations.
-REMEMBERED = 50_000
+REMEMBERED = 20_000
 #: Characters of distinct stretches that are scored together, and of texts that are encoded together.
-TOGETHER = 1 << 18
+TOGETHER = 1 << 17
 SLICE = 6 << 20
 #: Ids of segmentations that one batch of rows holds.
 BATCH_IDS = 1 << 19
@@ -282,13 +282,15 @@ class Lattice:
     def _relax_singly(order, source, target, weight, best, into) -> None:
         """_relax edge by edge, for places with few edges each."""
         sums, last = best.tolist(), -1
-        for edge, a, z, w in zip(order.tolist(), source[order].tolist(), target[order].tolist(), weight[order].tolist()):
-            reach = sums[a] + w
-            if z != last or reach > sums[z]:
-                sums[z] = reach
-                if into is not None:
-                    into[z] = edge
-            last = z
+        for lo in range(0, len(order), 1 << 16):
+            some = order[lo : lo + (1 << 16)]
+            for edge, a, z, w in zip(some.tolist(), source[some].tolist(), target[some].tolist(), weight[some].tolist()):
+                reach = sums[a] + w
+                if z != last or reach > sums[z]:
+                    sums[z] = reach
+                    if into is not None:
+                        into[z] = edge
+                last = z
         best[:] = sums
 
     @staticmethod

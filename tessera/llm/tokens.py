@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words that a worker remembers; with more, it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
