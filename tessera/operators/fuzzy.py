@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators.rank import first_of
+from tessera.session import stage
 
 GRAM = 3
 
@@ -38,29 +39,45 @@ def _rarest(grams: DataFrame, known: DataFrame, name: str, most: Column) -> Data
     return rows.withColumn("place", place).filter(F.col("place") <= most).select(name, "g", "nth")
 
 
-def ratio(a: Column, b: Column) -> Column:
-    """100 * (longer length - edit distance) / longer length, rounded down."""
+def _distance(a: Column, b: Column, most: Column | None) -> Column:
+    """The edit distance, or null where it is above `most`, which costs less to find."""
+    if most is None:
+        return F.levenshtein(a, b)
+    found = F.call_function("levenshtein", a, b, most.cast("int"))
+    return F.when(found >= 0, found)
+
+
+def ratio(a: Column, b: Column, least: int | None = None) -> Column:
+    """100 * (longer length - edit distance) / longer length, rounded down; with `least`, null below it."""
     longer = F.greatest(F.length(a), F.length(b))
-    return F.floor(100 * (longer - F.levenshtein(a, b)) / longer).cast("long")
+    most = None if least is None else F.floor((100 - least) * longer / 100)
+    return F.floor(100 * (longer - _distance(a, b, most)) / longer).cast("long")
 
 
-def partial_ratio(a: Column, b: Column) -> Column:
-    """The best ratio of the shorter text with any window of its length in the other."""
+def partial_ratio(a: Column, b: Column, least: int | None = None) -> Column:
+    """The best ratio of the shorter text with any window of its length in the other; with `least`, null below it."""
     short, long = F.when(F.length(a) <= F.length(b), a).otherwise(b), F.when(F.length(a) <= F.length(b), b).otherwise(a)
     starts = F.sequence(F.lit(1), F.length(long) - F.length(short) + 1)
-    return F.array_max(F.transform(starts, lambda i: ratio(short, F.substring(long, i, F.length(short)))))
+    return F.array_max(F.transform(starts, lambda i: ratio(short, F.substring(long, i, F.length(short)), least)))
+
+
+def _all_grams(x: Column) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - GRAM + 1), lambda i: F.substring(x, i, F.lit(GRAM))))
 
 
 def ratio_join(left: DataFrame, right: DataFrame, a: str, b: str, percent: int) -> DataFrame:
-    """Pairs of distinct names whose ratio is at least `percent`: a, b, score."""
-    x, y = _grams(_names(left, a, "a"), "a", GRAM - 1), _grams(_names(right, b, "b"), "b", GRAM - 1)
+    """Pairs of distinct names whose ratio is at least `percent`: a, b, score. Raises ValueError for a percent at which no
+    gram need survive; passjoin.ratio_join takes any."""
+    if GRAM * (100 - percent) >= 100:
+        raise ValueError(f"edits at {percent} % can leave no gram")
+    x, y = (stage(_grams(_names(side, column, name), name, GRAM - 1)) for side, column, name in ((left, a, "a"), (right, b, "b")))
 
     def most(name: str) -> Column:
         return F.length(name) - F.ceil((100 - GRAM * (100 - percent)) * F.length(name) / 100) + 1
 
     near = 100 * F.abs(F.length("a") - F.length("b")) <= (100 - percent) * F.greatest(F.length("a"), F.length("b"))
     pairs = _rarest(x, y, "a", most("a")).join(_rarest(y, y, "b", most("b")), ["g", "nth"]).filter(near)
-    return pairs.select("a", "b").distinct().withColumn("score", ratio(F.col("a"), F.col("b"))).filter(F.col("score") >= percent)
+    return pairs.select("a", "b").distinct().withColumn("score", ratio(F.col("a"), F.col("b"), percent)).filter(F.col("score") >= percent)
 
 
 def partial_join(left: DataFrame, right: DataFrame, a: str, b: str, percent: int, least: int = GRAM) -> DataFrame:
@@ -68,7 +85,7 @@ def partial_join(left: DataFrame, right: DataFrame, a: str, b: str, percent: int
     (at least GRAM): a, b, score. Raises ValueError where edits could leave no gram of so short a name."""
     if least < GRAM or (100 - GRAM * (100 - percent)) * least <= 100 * (GRAM - 1):
         raise ValueError(f"names of {least} characters are too short for a partial ratio of {percent}")
-    x, y = _grams(_names(left, a, "a"), "a", 0), _grams(_names(right, b, "b"), "b", 0)
+    x, y = (stage(_grams(_names(side, column, name), name, 0)) for side, column, name in ((left, a, "a"), (right, b, "b")))
 
     def most(name: str) -> Column:
         return F.length(name) - GRAM + 1 - F.ceil((100 - GRAM * (100 - percent)) * F.length(name) / 100 - (GRAM - 1)) + 1
@@ -77,7 +94,12 @@ def partial_join(left: DataFrame, right: DataFrame, a: str, b: str, percent: int
     inside = _rarest(x, y, "a", most("a")).join(y, "g").filter(F.length("a") <= F.length("b")).select("a", "b")
     around = x.join(_rarest(y, y, "b", most("b")), "g").filter(F.length("a") > F.length("b")).select("a", "b")
     pairs = inside.unionByName(around).distinct().filter(F.least(F.length("a"), F.length("b")) >= least)
-    return pairs.withColumn("score", partial_ratio(F.col("a"), F.col("b"))).filter(F.col("score") >= percent)
+    # An edit takes at most GRAM grams away, so the longer name has all but so many of the shorter one's.
+    shorter = F.least(F.length("a"), F.length("b"))
+    in_a, in_b = _all_grams(F.col("a")), _all_grams(F.col("b"))
+    lost = F.when(F.length("a") <= F.length("b"), F.size(F.array_except(in_a, in_b))).otherwise(F.size(F.array_except(in_b, in_a)))
+    pairs = pairs.filter(lost <= GRAM * F.floor((100 - percent) * shorter / 100))
+    return pairs.withColumn("score", partial_ratio(F.col("a"), F.col("b"), percent)).filter(F.col("score") >= percent)
 
 
 def five_tiers(names: DataFrame, known: DataFrame, name: str, title: str, ident: str) -> DataFrame:
@@ -86,9 +108,11 @@ def five_tiers(names: DataFrame, known: DataFrame, name: str, title: str, ident:
     Tiers: 1 what stands in parentheses; 2 a ratio of 95 or more, refused where both end in different variants
     ("2a", "2b"); 3 a token of six characters or more; 4 a ratio of 85 or more; 5 a partial ratio of 90 or more.
     Within a tier the highest score wins, then the shortest title, then the least. Titles are distinct and in lower case.
+    Distinct names, titles and their grams are staged, so each table is read once; only names that the first four tiers
+    leave open go to the last.
     """
-    wanted = names.select(name).filter(F.col(name).isNotNull()).distinct().withColumn("_k", F.lower(F.trim(name)))
-    titles = known.select(title, ident)
+    wanted = stage(names.select(name).filter(F.col(name).isNotNull()).distinct().withColumn("_k", F.lower(F.trim(name))))
+    titles = stage(known.select(title, ident))
 
     def exact(keys: DataFrame, step: int) -> DataFrame:
         return keys.join(titles, F.col("_t") == F.col(title)).select(name, F.lit(step).alias("step"), title, ident, F.lit(100).cast("long").alias("score"))
@@ -99,13 +123,13 @@ def five_tiers(names: DataFrame, known: DataFrame, name: str, title: str, ident:
 
     inner = exact(wanted.select(name, F.lower(F.trim(text.parenthetical(F.col(name)))).alias("_t")), 1)
     token = exact(wanted.select(name, F.explode(text.long_tokens(F.col("_k"))).alias("_t")), 3)
-    near = scored(ratio_join(wanted, titles, "_k", title, 85), F.when(F.col("score") >= 95, 2).otherwise(4))
+    near = scored(stage(ratio_join(wanted, titles, "_k", title, 85)), F.when(F.col("score") >= 95, 2).otherwise(4))
     order = [F.desc("score"), F.length(title), F.col(title)]
     first = first_of(inner.unionByName(token).unionByName(near), [name, "step"], order)
     mine, other = text.variant_suffix(F.col(name)), text.variant_suffix(F.col(title))
     first = first.filter(~((F.col("step") == 2) & (mine != "") & (other != "") & (mine != other)))
-    best = first_of(first, [name], [F.col("step")])
-    rest = wanted.join(best.select(name), name, "left_anti")
+    best = stage(first_of(first, [name], [F.col("step")]))
+    rest = stage(wanted.join(best.select(name), name, "left_anti"))
     pairs = partial_join(rest, titles, "_k", title, 90)
     last = rest.join(pairs, F.col("_k") == F.col("a")).join(titles, F.col("b") == F.col(title))
     last = first_of(last.select(name, F.lit(5).alias("step"), title, ident, "score"), [name], order)
