@@ -162,3 +162,27 @@ def nearest(x: Column, values: list[float]) -> Column:
 def token_sort_ratio(a: Column, b: Column) -> Column:
     """edit_ratio of the sorted words."""
     return edit_ratio(token_sort(a), token_sort(b))
+
+
+def chunks(x: Column, size: int) -> Column:
+    """A text in pieces of at most `size` characters, cut behind the last line feed that fits, if there is one behind the
+    piece's first character. One fold over the lines; a null or empty text has no pieces."""
+    lines = F.regexp_extract_all(x, F.lit("[^\n]*\n|[^\n]+"), F.lit(0))
+
+    def step(s: Column, line: Column) -> Column:
+        end = s["at"] + F.length(line)
+        full = end > s["start"] + size
+        at_break = full & (s["feed"] > s["start"])
+        start = F.when(at_break, s["feed"] + 1).otherwise(s["start"])
+        # What is left of a long line is cut by size.
+        more = F.greatest(F.ceil((end - start - size) / size), F.lit(0)).cast("int")
+        none = F.array().cast("array<int>")
+        by_size = F.when(more > 0, F.transform(F.sequence(F.lit(1), F.greatest(more, F.lit(1))), lambda k: start + k * size)).otherwise(none)
+        cuts = F.concat(s["cuts"], F.when(at_break, F.array(start)).otherwise(none), by_size)
+        feed = F.when(line.endswith("\n"), end - 1).otherwise(s["feed"])
+        return F.struct(end.alias("at"), (start + more * size).alias("start"), feed.alias("feed"), cuts.alias("cuts"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(-1).alias("feed"), F.array(F.lit(0)).alias("cuts"))
+    cuts = F.aggregate(lines, zero, step)["cuts"]
+    pieces = F.transform(cuts, lambda c, i: F.substring(x, c + 1, F.coalesce(F.get(cuts, i + 1), F.length(x)) - c))
+    return F.filter(pieces, lambda p: p != "")

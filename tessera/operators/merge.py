@@ -11,11 +11,13 @@ def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(new.join(old, keys, "left_anti"))
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """`old` with rows of `new` inserted or replacing those of their key, column by column where not null."""
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], nulls: bool = False) -> DataFrame:
+    """`old` with rows of `new` inserted or replacing those of their key, column by column where not null; with `nulls`,
+    nulls of the new row replace values too."""
     rest = [c for c in old.columns if c not in keys]
-    joined = old.alias("o").join(new.alias("n"), keys, "full")
-    return joined.select(*keys, *[F.coalesce(f"n.{c}", f"o.{c}").alias(c) for c in rest])
+    joined = old.alias("o").join(new.withColumn("_new", F.lit(True)).alias("n"), keys, "full")
+    kept = [F.when(F.col("_new"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")) if nulls else F.coalesce(f"n.{c}", f"o.{c}") for c in rest]
+    return joined.select(*keys, *[x.alias(c) for x, c in zip(kept, rest)])
 
 
 def fill_nulls(old: DataFrame, new: DataFrame, keys: list[str], column: str) -> DataFrame:

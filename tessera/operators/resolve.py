@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.functions.text import token_sort
+from tessera.functions.text import SALTS, strip_suffix, token_sort
 from tessera.operators.batches import numbered_within
 from tessera.operators.passjoin import ratio_join
+from tessera.operators.similarity import trigram_join
 from tessera.session import stage
 
 
@@ -185,3 +186,42 @@ def applicable(levels: DataFrame, targets: DataFrame, excluded: list[str]) -> Da
     safe = levels.filter((F.col("level").between(1, 3)) & ~F.lower("name").isin(*excluded))
     free = targets.filter("taken IS NULL").select(F.col("id").alias("target"))
     return safe.join(free, "target", "left_semi").select("id", "target", "level")
+
+
+def map_brands(brands: DataFrame, lookup: DataFrame) -> DataFrame:
+    """The best entity of each brand (brand, name, route, strength) in a lookup (id, plain, route, strength): brand,
+    confidence, id.
+
+    Names are compared without a trailing salt: with strength and route ("exact"), with the route only ("normalised"), or
+    by a trigram similarity above 0.7 on the same route ("fuzzy"). Brands that a step maps do not reach the next one. Of
+    several entities the most similar is taken, then the least name, then the least id; null parts of a key match nothing.
+    """
+    open_rows = stage(brands.select("brand", strip_suffix(F.col("name"), SALTS, plural=False).alias("plain"), "route", "strength"))
+    known = stage(lookup)
+    out = None
+    for confidence, keys in (("exact", ["plain", "route", "strength"]), ("normalised", ["plain", "route"])):
+        ids = known.groupBy(*keys).agg(F.min("id").alias("id"))
+        hit = stage(open_rows.join(ids, keys).select("brand", F.lit(confidence).alias("confidence"), "id"))
+        open_rows = stage(open_rows.join(hit, "brand", "left_anti"))
+        out = hit if out is None else out.unionByName(hit)
+    pairs = trigram_join(open_rows, known, "plain", "plain", 0.7).filter("similarity > 0.7")
+    ids = known.groupBy(F.col("plain").alias("b"), "route").agg(F.min("id").alias("id"))
+    near = open_rows.join(pairs, F.col("plain") == F.col("a")).join(ids, ["b", "route"])
+    best = near.groupBy("brand").agg(F.min(F.struct((-F.col("similarity")).alias("less"), "b", "id")).alias("best"))
+    return out.unionByName(best.select("brand", F.lit("fuzzy").alias("confidence"), "best.id"))
+
+
+#: The section that tells about a population, and the one for all others.
+SECTIONS = {"pediatric": "pediatric_use", "adolescent": "pediatric_use", "geriatric": "geriatric_use", "pregnant": "use_in_pregnancy"}
+OTHER_SECTION = "use_in_specific_populations"
+
+
+def approvals(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """`asked` (id, population, brand and others) with the status of `known` (id, population, status), "unknown" without
+    one, the section to read, and the brand where the status is approved or benefit_risk."""
+    pairs = [F.lit(x) for pair in SECTIONS.items() for x in pair]
+    section = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("population")), F.lit(OTHER_SECTION))
+    rows = asked.join(known, ["id", "population"], "left")
+    allowed = F.when(F.col("status").isin("approved", "benefit_risk"), F.col("brand"))
+    rest = [c for c in asked.columns if c not in ("id", "population", "brand", "p_name")]
+    return rows.select(*rest, "population", F.coalesce("status", F.lit("unknown")).alias("status"), section.alias("section"), allowed.alias("brand"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tessera.functions import text
@@ -60,26 +59,20 @@ def severity_case_order(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.first_rule(rules, "unknown").alias("severity"))
 
 
-def chunks(x: str | None, size: int) -> list[str]:
-    """A text in pieces of at most `size` characters, cut behind the last line break that fits, if there is one."""
-    out, at, x = [], 0, x or ""
-    while at < len(x):
-        end = at + size
-        if end < len(x):
-            cut = x.rfind("\n", at, end)
-            end = cut + 1 if cut > at else end
-        out.append(x[at:end])
-        at = end
-    return out
+_CHUNK = 2000
 
 
-@query()
+@query(f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+c AS (
+  SELECT r, doc_id, text, 0 AS chunk, CAST(0 AS BIGINT) AS pos, CAST(NULL AS VARCHAR) AS piece FROM d
+  UNION ALL
+  SELECT r, doc_id, text, chunk + 1, pos + length(p), p FROM (
+    SELECT *, CASE WHEN pos + {_CHUNK} < length(text) AND strpos(reverse(w), chr(10)) BETWEEN 1 AND length(w) - 1
+                   THEN left(w, length(w) - strpos(reverse(w), chr(10)) + 1) ELSE w END AS p
+    FROM (SELECT *, substr(text, pos + 1, {_CHUNK}) AS w FROM c WHERE pos < length(text))))
+SELECT doc_id, chunk - 1 AS chunk, length(piece) AS n_chars, md5(piece) AS key FROM c WHERE chunk > 0""")
 def chunk_text(spark, sf_dir):
     """Texts in chunks of 2,000 characters at most: doc_id, chunk, n_chars, key."""
-
-    @F.pandas_udf("array<string>")
-    def cut(x: pd.Series) -> pd.Series:
-        return x.map(lambda t: chunks(t, 2000))
-
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(cut("text")).alias("chunk", "piece"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.chunks(F.col("text"), _CHUNK)).alias("chunk", "piece"))
     return rows.select("doc_id", "chunk", F.length("piece").cast("long").alias("n_chars"), F.md5("piece").alias("key"))

@@ -352,6 +352,16 @@ def upsert_merge(spark, sf_dir):
     return merge.upsert(*_old_new(spark, sf_dir), ["o_orderkey"])
 
 
+@query(_OLD_NEW + """, m AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_totalprice > 200000 THEN o_totalprice END AS o_totalprice FROM n)
+SELECT o_orderkey, CASE WHEN m.o_orderstatus IS NOT NULL THEN m.o_orderstatus ELSE o.o_orderstatus END AS o_orderstatus, CASE WHEN m.o_orderstatus IS NOT NULL THEN m.o_totalprice ELSE o.o_totalprice END AS o_totalprice
+FROM o FULL JOIN m USING (o_orderkey)""")
+def upsert_overwrite(spark, sf_dir):
+    """Insert or update by key, where nulls of the new row overwrite values."""
+    old, new = _old_new(spark, sf_dir)
+    new = new.withColumn("o_totalprice", F.when(F.col("o_totalprice") > 200000, F.col("o_totalprice")))
+    return merge.upsert(old, new, ["o_orderkey"], nulls=True)
+
+
 @query(_OLD_NEW + " SELECT * FROM o UNION ALL SELECT * FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM o)")
 def insert_ignore(spark, sf_dir):
     """Insert where the key is absent."""

@@ -174,7 +174,7 @@ def skeleton_apply(spark, sf_dir):
 
 
 _CLAIMS = """
-WITH RECURSIVE sources AS (SELECT c_custkey AS source, CASE WHEN c_custkey % 2 = 0 THEN upper(p_name) ELSE left(p_name, 6) END AS name, 'v' || (c_custkey % 3) AS value
+WITH RECURSIVE sources AS (SELECT c_custkey AS source, CASE c_custkey % 4 WHEN 1 THEN left(p_name, 6) WHEN 3 THEN left(array_to_string(list_reverse(string_split(p_name, ' ')), ' '), CASE WHEN c_custkey % 8 = 3 THEN 7 ELSE 99 END) ELSE upper(p_name) END AS name, 'v' || (c_custkey % 3) AS value
   FROM customer JOIN part ON p_partkey = c_custkey WHERE c_custkey % 3 < 2),
 targets AS (SELECT p_partkey AS target, p_name AS name, CASE WHEN p_partkey % 4 < 3 THEN 'v' || (p_partkey % 4) END AS value FROM part WHERE p_size > 40),
 synonyms AS (SELECT p_partkey AS target, array_to_string(list_reverse(string_split(p_name, ' ')), ' ') AS name FROM part WHERE p_size > 40),
@@ -186,7 +186,7 @@ hits AS (
 ranked AS (
   SELECT h.source, h.target, step, s.value IS NOT DISTINCT FROM t.value AS keeps, t.value AS old, row_number() OVER (PARTITION BY h.source ORDER BY step, matched, h.target) AS r
   FROM (SELECT source, target, b.step AS step, b.matched AS matched FROM (SELECT source, target, min({'step': step, 'matched': matched}) AS b FROM hits GROUP BY source, target)) h JOIN sources s USING (source) JOIN targets t USING (target)),
-lists AS (SELECT source, list({'target': target, 'step': step, 'keeps': keeps, 'old': old} ORDER BY r) AS wants, row_number() OVER (ORDER BY source) AS turn FROM ranked GROUP BY source),
+lists AS MATERIALIZED (SELECT source, list({'target': target, 'step': step, 'keeps': keeps, 'old': old} ORDER BY r) AS wants, row_number() OVER (ORDER BY source) AS turn FROM ranked GROUP BY source),
 -- The sources in order, each with the best candidate that none before it has taken away.
 run AS (
   SELECT CAST(0 AS BIGINT) AS turn, CAST([] AS BIGINT[]) AS gone, CAST(NULL AS BIGINT) AS source, NULL::STRUCT(target BIGINT, step INTEGER, keeps BOOLEAN, old VARCHAR) AS got
@@ -204,10 +204,73 @@ def claims_with_inserts(spark, sf_dir):
     once, an equal one stays free, and sources without a target become new rows."""
     part = table(spark, sf_dir, "part")
     rows = table(spark, sf_dir, "customer").filter("c_custkey % 3 < 2").join(part, F.col("p_partkey") == F.col("c_custkey"))
-    name = F.when(F.col("c_custkey") % 2 == 0, F.upper("p_name")).otherwise(F.left("p_name", F.lit(6)))
+    which = F.col("c_custkey") % 8
+    name = F.when(which % 4 == 1, F.left("p_name", F.lit(6))).when(which == 3, F.left(_reversed("p_name"), F.lit(7))).when(which == 7, _reversed("p_name")).otherwise(F.upper("p_name"))
     sources = rows.select(F.col("c_custkey").alias("source"), name.alias("name"), F.concat(F.lit("v"), (F.col("c_custkey") % 3).cast("string")).alias("value"))
     known = part.filter("p_size > 40")
     old = F.when(F.col("p_partkey") % 4 < 3, F.concat(F.lit("v"), (F.col("p_partkey") % 4).cast("string")))
     targets = known.select(F.col("p_partkey").alias("target"), F.col("p_name").alias("name"), old.alias("value"))
     synonyms = known.select(F.col("p_partkey").alias("target"), _reversed("p_name").alias("name"))
     return resolve.update_by_name(sources, targets, synonyms)
+
+
+_BRANDS = rf"""
+WITH lookup AS (SELECT DISTINCT p_partkey AS id, regexp_replace(upper(trim(p_name)), '\s+({_SALT})\s*$', '', 'i') AS plain, unnest([p_type, p_type || ' XR']) AS route, p_size AS strength FROM part WHERE p_size <= 45),
+brands AS (SELECT c_custkey AS brand, regexp_replace(upper(trim(CASE c_custkey % 5 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' sodium' WHEN 2 THEN p_name WHEN 3 THEN substr(p_name, 1, 4) || substr(p_name, 6) ELSE 'zz' END)), '\s+({_SALT})\s*$', '', 'i') AS plain,
+  CASE WHEN c_custkey % 3 = 0 THEN p_type || ' XR' ELSE p_type END AS route, CASE WHEN c_custkey % 5 = 2 THEN 99 ELSE p_size END AS strength FROM customer JOIN part ON p_partkey = c_custkey),
+grams AS (SELECT x, list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower(x), '[^a-z0-9]+'), lambda w: w <> ''),
+  lambda w: list_transform(range(1, CAST(length(w) AS BIGINT) + 2), lambda i: substr('  ' || w || ' ', i, 3))))) AS t FROM (SELECT plain AS x FROM brands UNION SELECT plain FROM lookup)),
+alike AS (SELECT n.x AS plain, k.x AS known, len(list_intersect(n.t, k.t)) / CAST(len(list_distinct(n.t || k.t)) AS DOUBLE) AS s FROM grams n, grams k),
+found AS (
+  SELECT brand, 'exact' AS confidence, 1 AS step, 1.0 AS s, l.plain, id FROM brands b JOIN lookup l USING (plain, route, strength)
+  UNION ALL SELECT brand, 'normalised', 2, 1.0, l.plain, id FROM brands b JOIN lookup l USING (plain, route)
+  UNION ALL SELECT brand, 'fuzzy', 3, s, l.plain, id FROM brands b JOIN alike a ON a.plain = b.plain AND s > 0.7 JOIN lookup l ON l.plain = a.known AND l.route = b.route),
+best AS (SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY brand ORDER BY step, s DESC, plain, id) = 1)"""
+
+
+def _brand_rows(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    routes = F.explode(F.array(F.col("p_type"), F.concat("p_type", F.lit(" XR"))))
+    plain = text.strip_suffix(F.col("p_name"), text.SALTS, plural=False)
+    lookup = part.filter("p_size <= 45").select(F.col("p_partkey").alias("id"), plain.alias("plain"), routes.alias("route"), F.col("p_size").alias("strength")).distinct()
+    rows = table(spark, sf_dir, "customer").join(part, F.col("p_partkey") == F.col("c_custkey"))
+    which, name = F.col("c_custkey") % 5, F.col("p_name")
+    spoilt = F.when(which.isin(0, 2), name).when(which == 1, F.concat(name, F.lit(" sodium"))).when(which == 3, F.concat(F.left(name, F.lit(4)), F.substring(name, 6, 1 << 30))).otherwise("zz")
+    route = F.when(F.col("c_custkey") % 3 == 0, F.concat("p_type", F.lit(" XR"))).otherwise(F.col("p_type"))
+    strength = F.when(which == 2, 99).otherwise(F.col("p_size"))
+    return rows.select(F.col("c_custkey").alias("brand"), spoilt.alias("name"), route.alias("route"), strength.alias("strength")), lookup
+
+
+@query(_BRANDS + " SELECT brand, confidence, id FROM best")
+def brand_mapping(spark, sf_dir):
+    """Brands mapped by plain name, strength and route, then without strength, then by similar names of the route."""
+    return resolve.map_brands(*_brand_rows(spark, sf_dir))
+
+
+@query(_BRANDS + " SELECT b.brand, b.plain, b.route, b.strength FROM brands b ANTI JOIN best USING (brand)")
+def brand_unmatched(spark, sf_dir):
+    """The report of brands that no step maps."""
+    brands, lookup = _brand_rows(spark, sf_dir)
+    mapped = resolve.map_brands(brands, lookup).select("brand")
+    plain = text.strip_suffix(F.col("name"), text.SALTS, plural=False).alias("plain")
+    return brands.join(mapped, "brand", "left_anti").select("brand", plain, "route", "strength")
+
+
+@query("""
+WITH approvals AS (SELECT p_partkey AS id, unnest(['adult', 'pediatric', 'geriatric']) AS population, CASE WHEN p_size % 3 = 0 THEN 'approved' WHEN p_size % 3 = 1 THEN 'benefit_risk' ELSE 'contraindicated' END AS status FROM part WHERE p_size > 10),
+asked AS (SELECT c_custkey, p_name, ['adult', 'pediatric', 'pregnant'][c_custkey % 3 + 1] AS population FROM customer JOIN part ON p_partkey = c_custkey),
+known AS (SELECT p_name, min(p_partkey) AS id FROM part GROUP BY p_name),
+brands AS (SELECT p_name, min(p_brand) AS brand FROM part GROUP BY p_name)
+SELECT c_custkey, asked.population, coalesce(status, 'unknown') AS status, CASE asked.population WHEN 'pediatric' THEN 'pediatric_use' WHEN 'pregnant' THEN 'use_in_pregnancy' ELSE 'use_in_specific_populations' END AS section,
+  CASE WHEN status IN ('approved', 'benefit_risk') THEN brand END AS brand
+FROM asked JOIN known USING (p_name) LEFT JOIN approvals USING (id, population) LEFT JOIN brands USING (p_name)""")
+def population_approval(spark, sf_dir):
+    """Approval of a resolved entity for a population, the section to read, and brands where it is approved."""
+    part = table(spark, sf_dir, "part")
+    status = F.when(F.col("p_size") % 3 == 0, "approved").when(F.col("p_size") % 3 == 1, "benefit_risk").otherwise("contraindicated")
+    kinds = F.explode(F.array(*map(F.lit, ("adult", "pediatric", "geriatric"))))
+    approvals = part.filter("p_size > 10").select(F.col("p_partkey").alias("id"), kinds.alias("population"), status.alias("status"))
+    population = F.element_at(F.array(*map(F.lit, ("adult", "pediatric", "pregnant"))), (F.col("c_custkey") % 3 + 1).cast("int"))
+    asked = table(spark, sf_dir, "customer").join(part, F.col("p_partkey") == F.col("c_custkey")).select("c_custkey", "p_name", population.alias("population"))
+    known = part.groupBy("p_name").agg(F.min("p_partkey").alias("id"), F.min("p_brand").alias("brand"))
+    return resolve.approvals(asked.join(known, "p_name"), approvals)

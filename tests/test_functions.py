@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions import jsonx, keys, text
 from tessera.operators import enrich, merge, passjoin, rank, similarity
-from tessera.plans.documents import chunks
 
 
 def values(df):
@@ -88,13 +87,24 @@ def test_json_gaps_and_repair(spark):
         assert (None if j is None else json.loads(j)) == read_objects(t), t
 
 
-def test_chunks_join_to_the_text():
+def cut(x, size):
+    out, at = [], 0
+    while at < len(x):
+        end = at + size
+        if end < len(x):
+            feed = x.rfind("\n", at, end)
+            end = feed + 1 if feed > at else end
+        out.append(x[at:end])
+        at = end
+    return out
+
+
+def test_chunks_equal_the_greedy_program(spark):
     r = random.Random(1)
-    for _ in range(50):
-        x = "".join(r.choice("ab \n") for _ in range(r.randrange(200)))
-        got = chunks(x, 17)
-        assert "".join(got) == x and all(0 < len(c) <= 17 for c in got)
-    assert chunks(None, 5) == []
+    texts = ["".join(r.choice("aé \n" if r.random() < 0.5 else "ab") for _ in range(r.randrange(200))) for _ in range(150)] + ["", None, "\n" * 40, "x" * 100]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for size in (1, 17, 60):
+        assert [list(c or []) for c, in values(df.select(text.chunks(F.col("t"), size)))] == [cut(t or "", size) for t in texts]
 
 
 def test_fill_decisions_and_application_agree(spark):
