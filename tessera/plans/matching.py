@@ -41,8 +41,7 @@ FROM g x, g y WHERE x.p_name <> y.p_name AND len(list_intersect(x.t, y.t)) > 0)
 def trigram_topk(spark, sf_dir):
     """The three most similar names of each name (the feature: a top-k report)."""
     n = _names(spark, sf_dir)
-    pairs = similarity.trigram_join(n, n, "p_name", "p_name", 1e-9).filter("a <> b")
-    return rank.first_of(pairs, ["a"], [F.col("similarity").desc(), F.col("b")], 3).select("a", "b")
+    return similarity.most_similar(n, n, "p_name", "p_name", 3).select("a", "b")
 
 
 @query(f"""

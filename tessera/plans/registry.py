@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.plans import base, documents, json_text, lookups, matching, records, relational, resolution, unify
+from tessera.plans import base, documents, json_text, labels, lookups, matching, records, relational, resolution, unify
 
-MODULES = (relational, json_text, matching, documents, lookups, records, resolution, unify)
+MODULES = (relational, json_text, matching, documents, labels, lookups, records, resolution, unify)
 
 
 def queries() -> dict[str, base.Query]:
