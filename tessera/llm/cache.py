@@ -1,7 +1,32 @@
-"""A bounded cache for use inside tasks."""
+"""Bounded caches for use inside tasks, and the memory of Python workers between them."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
+import pyarrow as pa
+
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def trim() -> None:
+    """Gives memory that is free back to the system; workers live on from stage to stage and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not every system has it
+        pass
+
+
+def begin(owner: str, clear: Callable[[], None]) -> None:
+    """To be called where a task of an operator begins: what other operators keep in this worker is cleared, and `clear`
+    will clear what this one keeps."""
+    for name in [n for n in _KEPT if n != owner]:
+        _KEPT.pop(name)()
+    _KEPT[owner] = clear
+    trim()
+
 
 class TwoGenerations(dict):
     """A dict of at most about 2 * `size` entries: a full generation replaces the one before, used entries return."""

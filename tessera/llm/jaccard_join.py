@@ -45,6 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens
+from tessera.llm.cache import begin, trim
 from tessera.llm.common import if_few, stage_table
 from tessera.llm.components import components
 
@@ -173,6 +174,7 @@ def _measure(percent: int, width: int):
         return pa.RecordBatch.from_arrays(arrays, schema=kinds)
 
     def run(source):
+        begin("words", tokens.forget)
         seen: dict[int, int] = {}
         parts, held = [], 0
 
@@ -203,6 +205,8 @@ def _measure(percent: int, width: int):
         frequent()
         if seen:
             yield row_batch(len(seen), shingle=list(seen.keys()), heavy=list(seen.values()))
+        parts = []
+        trim()
 
     return run
 
@@ -238,6 +242,7 @@ def _postings(heavy: np.ndarray, rank: np.ndarray, boundary: int, buckets: int,
         )
 
     def run(source):
+        begin("words", tokens.forget)
         sigs, rows, held = set(), [], 0
         for batch in tokens.slices(source, 0, size=1 << 23):
             for s in shingle_sets(batch.column(0), width):
@@ -252,6 +257,8 @@ def _postings(heavy: np.ndarray, rank: np.ndarray, boundary: int, buckets: int,
                 rows, held = [], 0
         if rows:
             yield packed(rows)
+        rows = []
+        trim()
 
     return run
 
@@ -279,6 +286,7 @@ def _lists(percent: int):
         live[:-1] |= fits
         large = large[live]
         out = np.concatenate([small[ok], large])
+        trim()
         none = pa.nulls(len(large), pa.binary())
         return pa.table(
             {
@@ -333,6 +341,7 @@ def _blocks(percent: int, bins: int = 64):
 
 def _sets(width: int):
     def run(source):
+        begin("words", tokens.forget)
         for batch in tokens.slices(source, 0, size=1 << 23):
             sets = list(shingle_sets(batch.column(0), width))
             yield pa.RecordBatch.from_arrays(

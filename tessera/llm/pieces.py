@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.cache import TwoGenerations
+from tessera.llm.cache import TwoGenerations, begin, trim
 from tessera.llm.common import text_of
 
 SPACE = "▁"
@@ -467,6 +467,7 @@ def _encode(path: str, n_best: int, with_ids: bool):
         return pa.RecordBatch.from_arrays(arrays + part.columns[2:], names=names + part.schema.names[2:])
 
     def run(source):
+        begin("pieces", lattice.cache_clear)
         model = lattice(path)
         for batch in source:
             for part, texts in _parts(batch):
@@ -480,6 +481,7 @@ def _encode(path: str, n_best: int, with_ids: bool):
                         exact, found, held, lo = [], [], 0, lo + len(found)
                 if found:
                     yield rows(part.slice(lo, len(found)), exact, found)
+        trim()
 
     return run
 
@@ -498,6 +500,7 @@ def encode(docs: DataFrame, model: str, n_best: int = NBEST, with_ids: bool = Tr
 
 def _decode(path: str):
     def run(source):
+        begin("pieces", lattice.cache_clear)
         model = lattice(path)
         for batch in source:
             texts = [None if ids is None else model.decode(ids) for ids in batch.column(1).to_pylist()]

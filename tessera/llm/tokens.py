@@ -54,8 +54,7 @@ class _Vocabulary(dict):
     def lanes(self, words: list[bytes]) -> np.ndarray:
         """Two 64-bit lanes of the digest of each word."""
         if len(self) > REMEMBERED:
-            self.clear()
-            self.digests = bytearray()
+            forget()
         ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         return np.frombuffer(bytes(self.digests), "<u8").reshape(-1, 2)[ids]
 
@@ -63,6 +62,12 @@ class _Vocabulary(dict):
 _VOCABULARY = _Vocabulary()
 
 
+def forget() -> None:
+    """Clears the words that this worker remembers."""
+    _VOCABULARY.clear()
+    _VOCABULARY.digests = bytearray()
+
+
 def spelled(array: pa.Array) -> list[bytes]:
     """The values of a string array without nulls, as bytes."""
     data, offsets = buffers(array)
