@@ -43,11 +43,33 @@ def _of(edges: DataFrame, kind: str, name: str) -> DataFrame:
     return edges.filter(F.col("type") == kind).select(F.col("src").alias(name), "dst")
 
 
+def _classes(side: DataFrame, c: str, name: str) -> DataFrame:
+    """Rows (c, name): sources with the same targets share a class, named by the least of them. Sets of targets are compared
+    by their sizes and two sums of hashes."""
+    hashes = [F.sum(F.xxhash64(F.lit(k), "dst").cast("decimal(38,0)")).alias(f"_h{k}") for k in (1, 2)]
+    shapes = stage(side.groupBy(c).agg(F.count("*").alias("_n"), *hashes))
+    named = shapes.groupBy("_n", "_h1", "_h2").agg(F.min(c).alias(name))
+    return stage(shapes.join(named, ["_n", "_h1", "_h2"]).select(c, name))
+
+
 def two_hop(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> DataFrame:
-    """Pairs of sources that meet in a target, one by each type: a, b, paths."""
+    """Pairs of sources that meet in a target, one by each type: a, b, paths.
+
+    Where most sources share their set of targets with others, paths are counted between such classes, and pairs are only
+    written out, without a shuffle or an aggregate of them.
+    """
     e = stage(edges.distinct())
-    met = _meetings(_of(e, first, "a"), _of(e, second, "b"), ways).filter("a <> b")
-    return met.groupBy("a", "b").agg(F.count("*").alias("paths"))
+    x, y = _of(e, first, "a"), _of(e, second, "b")
+    p, q = _classes(x, "a", "p"), _classes(y, "b", "q")
+    if 2 * (p.filter("a = p").count() + q.filter("b = q").count()) > p.count() + q.count():
+        met = _meetings(x, y, ways).filter("a <> b")
+        return met.groupBy("a", "b").agg(F.count("*").alias("paths"))
+    x = x.join(p.filter("a = p").select("a"), "a", "left_semi")
+    y = y.join(q.filter("b = q").select("b"), "b", "left_semi")
+    pairs = stage(_meetings(x, y, ways).groupBy("a", "b").agg(F.count("*").alias("paths")))
+    left = pairs.withColumnRenamed("a", "p").join(p, "p").select(F.struct("a", "paths").alias("a"), F.col("b").alias("dst"))
+    met = _meetings(left, q.select("b", F.col("q").alias("dst")), ways)
+    return met.select("a.a", "b", "a.paths").filter("a <> b")
 
 
 def alternatives(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> DataFrame:

@@ -50,6 +50,18 @@ def test_two_hops_over_hubs(spark, ways):
     assert {tuple(p) for p in graph.alternatives(edges, "x", "y", ways).collect()} == share[0] & share[1]
 
 
+def test_paths_of_equal_sources_are_counted_once(spark):
+    rows = [(s, d, k) for s in range(60) for k, ds in (("x", [s % 3, 3]), ("y", [s % 2, 2 + s % 2])) for d in ds]
+    edges = spark.createDataFrame(rows, "src long, dst long, type string")
+    want = {}
+    for (a, d, k), (b, f, m) in itertools.product(rows, rows):
+        if d == f and (k, m) == ("x", "y") and a != b:
+            want[a, b] = want.get((a, b), 0) + 1
+    out = graph.two_hop(edges, "x", "y", 50)
+    assert {(p.a, p.b): p.paths for p in out.collect()} == want and len(want) == out.count()
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_hub_is_dealt_to_many_tasks(spark):
     edges = spark.range(3000).select(F.col("id").alias("src"), F.lit(1).cast("long").alias("dst"), F.lit("x").alias("type"))
     x, y = graph._of(edges, "x", "a"), graph._of(edges, "x", "b")
