@@ -19,6 +19,8 @@ from tessera.operators.similarity import trigram_join
 from tessera.session import stage
 
 FUZZY_ROWS = 3
+#: A name with more pairs of asking and resolved rows than SIDE * SIDE is joined in blocks of about SIDE rows of either.
+SIDE = 1024
 COLUMNS = "name string, step int, match_type string, id long, matched string"
 
 
@@ -154,3 +156,37 @@ def register(spark: SparkSession, resolved: DataFrame) -> None:
         "RETURNS TABLE(step INT, match_type STRING, id BIGINT, matched STRING) "
         "RETURN SELECT r.step, r.match_type, r.id, r.matched FROM _resolved_names r WHERE r.name = input"
     )
+
+
+def look_up(asked: DataFrame, resolved: DataFrame, side: int = SIDE) -> DataFrame:
+    """Each row of `asked` (with a column `name`) with step, match_type, id and matched of resolve_name(name), or nulls.
+
+    A name that asks often and has many rows would give its product in one task. Both of its sides are dealt into blocks,
+    and each pair of blocks is a key of its own for resolve_block, the same function over blocks.
+    """
+    spark, asked = asked.sparkSession, stage(asked)
+    n_x, n_y = (df.groupBy("name").agg(F.count("*").alias(n)) for df, n in ((asked, "n_x"), (resolved, "n_y")))
+    parts = [F.ceil(F.col(n) / side).cast("int").alias(p) for n, p in (("n_x", "p"), ("n_y", "q"))]
+    hot = stage(n_x.join(n_y, "name").filter(F.col("n_x") * F.col("n_y") > side * side).select("name", *parts))
+    register(spark, resolved)
+    blocks = hot.agg(F.sum(F.col("p").cast("long") * F.col("q"))).first()[0]
+    if not blocks:
+        return spark.sql("SELECT w.*, r.* FROM {asked} w LEFT JOIN LATERAL resolve_name(w.name) r", asked=asked)
+
+    def dealt(df: DataFrame, own: str, parts: str, other: str, others: str) -> DataFrame:
+        block = F.pmod(F.xxhash64(*df.columns), F.col(parts)).cast("int").alias(own)
+        rows = df.join(hot, "name").select(*df.columns, block, F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(other))
+        # A number of its own: by their bytes, which say nothing of their products, blocks would be put together.
+        return rows.repartition(min(blocks, 2000), "name", "_i", "_j")
+
+    dealt(resolved, "_j", "q", "_i", "p").createOrReplaceTempView("_resolved_blocks")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION resolve_block(input STRING, i INT, j INT) "
+        "RETURNS TABLE(step INT, match_type STRING, id BIGINT, matched STRING) "
+        "RETURN SELECT r.step, r.match_type, r.id, r.matched FROM _resolved_blocks r WHERE r.name = input AND r._i = i AND r._j = j"
+    )
+    rest = asked.join(hot, "name", "left_anti").select(asked.columns)
+    light = spark.sql("SELECT w.*, r.* FROM {rest} w LEFT JOIN LATERAL resolve_name(w.name) r", rest=rest)
+    heavy = dealt(asked, "_i", "p", "_j", "q")
+    heavy = spark.sql("SELECT w.*, r.* FROM {heavy} w JOIN LATERAL resolve_block(w.name, w._i, w._j) r", heavy=heavy)
+    return light.unionByName(heavy.drop("_i", "_j"))

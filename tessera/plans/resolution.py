@@ -106,8 +106,7 @@ def resolve_questions(spark, sf_dir):
 def resolve_function(spark, sf_dir):
     """The resolver as a table function in SQL, for each row of a table."""
     wanted = _wanted(spark, sf_dir)
-    resolver.register(spark, resolver.resolve(wanted, _relations(spark, sf_dir)))
-    return spark.sql("SELECT w.c_custkey, w.name, r.* FROM {wanted} w LEFT JOIN LATERAL resolve_name(w.name) r", wanted=wanted)
+    return resolver.look_up(wanted, resolver.resolve(wanted, _relations(spark, sf_dir)))
 
 
 @query(f"""
