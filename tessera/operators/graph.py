@@ -3,11 +3,17 @@
 Two sources meet in a target, so a hub with d sources has d * d ways through it. Targets with up to `WAYS` ways are
 joined as they are; those with more are split: one side of the hub is dealt into parts, the other goes to every part, so
 that no task makes more than about WAYS pairs of one hub.
+
+Pairs are counted where their first source is: each edge is sent there with the list of sources that its target leads to,
+so that ways are neither rows of a shuffle nor kept in a map of all pairs by every task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.session import stage
@@ -15,6 +21,8 @@ from tessera.session import stage
 WAYS = 1 << 20
 #: Hubs that are broadcast at most; more are joined by a shuffle.
 FEW_HUBS = 100_000
+#: Times WAYS that a source may have ways of its own for them to meet in one task, and that a task has on average.
+BUSY, TASK = 16, 4
 
 
 def _meetings(x: DataFrame, y: DataFrame, ways: int = WAYS) -> DataFrame:
@@ -52,6 +60,39 @@ def _classes(side: DataFrame, c: str, name: str) -> DataFrame:
     return stage(shapes.join(named, ["_n", "_h1", "_h2"]).select(c, name))
 
 
+def _pairs(kinds: list[tuple[DataFrame, DataFrame | None, int]], summary: Callable[[Column], Column], keep: Column, ways: int) -> DataFrame:
+    """Pairs (a, b) of the rows (a, dst) and (b, dst) of each kind, with the summary `v` of the kinds' values, one for each
+    way. Without rows (b, dst), they are the rows (a, dst).
+
+    Ways through hubs and those of busy sources are made apart and meet by a shuffle of pairs; `summary` can be repeated.
+    """
+    spark = kinds[0][0].sparkSession
+    lists, apart, total = [], [], 0
+    for x, y, value in kinds:
+        n_x = x.groupBy("dst").agg(F.count("*").alias("n_x"))
+        n_y = n_x.withColumn("n_y", F.col("n_x")) if y is None else n_x.join(y.groupBy("dst").agg(F.count("*").alias("n_y")), "dst")
+        y = x.withColumnRenamed("a", "b") if y is None else y
+        crowds = stage(n_y.select("dst", "n_y", (F.col("n_x") * F.col("n_y")).alias("crowd")))
+        sums = crowds.agg(F.coalesce(F.sum("crowd"), F.lit(0)), F.coalesce(F.max("crowd"), F.lit(0))).first()
+        total += sums[0]
+        if sums[1] > ways:
+            hubs = crowds.filter(F.col("crowd") > ways).select("dst")
+            apart.append(_meetings(x.join(hubs, "dst", "left_semi"), y, ways).select("a", "b", F.lit(value).cast("long").alias("v")))
+            x = x.join(hubs, "dst", "left_anti")
+        busy = stage(x.join(crowds, "dst").groupBy("a").agg(F.sum("n_y").alias("n")).filter(F.col("n") > BUSY * ways).select("a"))
+        if not busy.isEmpty():
+            apart.append(_meetings(x.join(busy, "a", "left_semi"), y, ways).select("a", "b", F.lit(value).cast("long").alias("v")))
+            x = x.join(busy, "a", "left_anti")
+        others = y.groupBy("dst").agg(F.collect_list("b").alias("bs"))
+        lists.append(x.join(others, "dst").select("a", "bs", F.lit(value).cast("long").alias("v")))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(10_000, total // (TASK * WAYS) + 1))
+    met = reduce(DataFrame.unionByName, lists).repartition(parts, "a").select("a", F.explode("bs").alias("b"), "v")
+    out = met.filter(keep).groupBy("a", "b").agg(summary(F.col("v")).alias("v"))
+    if apart:
+        out = reduce(DataFrame.unionByName, apart).filter(keep).unionByName(out).groupBy("a", "b").agg(summary(F.col("v")).alias("v"))
+    return out
+
+
 def two_hop(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> DataFrame:
     """Pairs of sources that meet in a target, one by each type: a, b, paths.
 
@@ -60,13 +101,13 @@ def two_hop(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> Data
     """
     e = stage(edges.distinct())
     x, y = _of(e, first, "a"), _of(e, second, "b")
-    p, q = _classes(x, "a", "p"), _classes(y, "b", "q")
+    p = _classes(x, "a", "p")
+    q = p.withColumnsRenamed({"a": "b", "p": "q"}) if first == second else _classes(y, "b", "q")
     if 2 * (p.filter("a = p").count() + q.filter("b = q").count()) > p.count() + q.count():
-        met = _meetings(x, y, ways).filter("a <> b")
-        return met.groupBy("a", "b").agg(F.count("*").alias("paths"))
+        return _pairs([(x, None if first == second else y, 1)], F.sum, F.col("a") != F.col("b"), ways).withColumnRenamed("v", "paths")
     x = x.join(p.filter("a = p").select("a"), "a", "left_semi")
     y = y.join(q.filter("b = q").select("b"), "b", "left_semi")
-    pairs = stage(_meetings(x, y, ways).groupBy("a", "b").agg(F.count("*").alias("paths")))
+    pairs = stage(_pairs([(x, y, 1)], F.sum, F.lit(True), ways).withColumnRenamed("v", "paths"))
     left = pairs.withColumnRenamed("a", "p").join(p, "p").select(F.struct("a", "paths").alias("a"), F.col("b").alias("dst"))
     met = _meetings(left, q.select("b", F.col("q").alias("dst")), ways)
     return met.select("a.a", "b", "a.paths").filter("a <> b")
