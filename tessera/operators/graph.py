@@ -116,22 +116,17 @@ def two_hop(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> Data
 def alternatives(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> DataFrame:
     """Sources that share a target by each of two types, both directions: a, b.
 
-    The type with fewer ways is expanded first. Of the other type, only edges of sources that are still in a pair are,
-    and the pairs of both meet by an equi-join.
+    Only edges of sources that share a target by the type with fewer ways are expanded. Both types' pairs meet in one
+    aggregate, each pair once, from its lesser source.
     """
     e = stage(edges.select("src", "dst", "type").distinct())
-    crowds = e.groupBy("type", "dst").agg(F.count("*").alias("n")).groupBy("type").agg(F.sum(F.col("n") * F.col("n")).alias("ways"))
-    ways_of = {r["type"]: r["ways"] for r in crowds.filter(F.col("type").isin(first, second)).collect()}
-    rare, common = sorted((first, second), key=lambda t: ways_of.get(t, 0))
-
-    def sharing(rows: DataFrame) -> DataFrame:
-        met = _meetings(rows.withColumnRenamed("src", "a"), rows.withColumnRenamed("src", "b"), ways)
-        return met.filter("a < b").select("a", "b").distinct()
-
-    pairs = stage(sharing(e.filter(F.col("type") == rare).select("src", "dst")))
-    alive = pairs.select(F.col("a").alias("src")).unionByName(pairs.select(F.col("b").alias("src"))).distinct()
-    rest = e.filter(F.col("type") == common).join(alive, "src", "left_semi").select("src", "dst")
-    both = pairs.join(sharing(rest), ["a", "b"], "left_semi")
+    crowds = stage(e.filter(F.col("type").isin(first, second)).groupBy("type", "dst").agg(F.count("*").alias("n")))
+    ways_of = {r["type"]: r["ways"] for r in crowds.groupBy("type").agg(F.sum(F.col("n") * F.col("n")).alias("ways")).collect()}
+    rare = min((first, second), key=lambda t: ways_of.get(t, 0))
+    shared = crowds.filter((F.col("type") == rare) & (F.col("n") > 1)).select("type", "dst")
+    e = stage(e.join(stage(e.join(shared, ["type", "dst"], "left_semi").select("src").distinct()), "src", "left_semi"))
+    kinds = [(_of(e, kind, "a"), None, bit) for bit, kind in enumerate((first, second), 1)]
+    both = stage(_pairs(kinds, F.bit_or, F.col("a") < F.col("b"), ways).filter(F.col("v") == 3).select("a", "b"))
     return both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
