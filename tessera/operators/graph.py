@@ -135,7 +135,12 @@ def without(nodes: DataFrame, edges: DataFrame, key: str, kind: str) -> DataFram
     return nodes.join(edges.filter(F.col("type") == kind).select(F.col("src").alias(key)), key, "left_anti")
 
 
-def mirror_gaps(edges: DataFrame) -> DataFrame:
-    """Edges (a, b) whose reverse is missing."""
-    back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    return edges.join(back, ["a", "b"], "left_anti")
+def mirror_gaps(edges: DataFrame, parts: int) -> DataFrame:
+    """Distinct edges (a, b) whose reverse is missing. An edge and its reverse meet in one of `parts` groups of rows, which
+    bound what a task holds; an edge with a null has no reverse, one from a node to itself is its own."""
+    turned = F.coalesce(F.col("a") > F.col("b"), F.lit(False))
+    lo, hi = F.when(turned, F.col("b")).otherwise(F.col("a")), F.when(turned, F.col("a")).otherwise(F.col("b"))
+    rows = edges.filter(F.coalesce(F.col("a") != F.col("b"), F.lit(True))).select(lo.alias("lo"), hi.alias("hi"), F.when(turned, 2).otherwise(1).alias("way"))
+    one = rows.repartition(parts, "lo", "hi").groupBy("lo", "hi").agg(F.bit_or("way").alias("ways")).filter("ways < 3")
+    back = F.col("ways") == 2
+    return one.select(F.when(back, F.col("hi")).otherwise(F.col("lo")).alias("a"), F.when(back, F.col("lo")).otherwise(F.col("hi")).alias("b"))

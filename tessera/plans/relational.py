@@ -162,14 +162,20 @@ def scalar_subq_report(spark, sf_dir):
     return out
 
 
+_TASK_ROWS = 1 << 19
+
+
 @query("""
 WITH e AS (SELECT DISTINCT o_custkey AS a, l_suppkey AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
 SELECT a, count(*) AS one_way FROM e WHERE NOT EXISTS (SELECT 1 FROM e f WHERE f.a = e.b AND f.b = e.a) GROUP BY a""")
 def mirror_edges(spark, sf_dir):
     """Edges from customers to suppliers whose reverse is missing, counted by their source."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    edges = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
-    return graph.mirror_gaps(edges).groupBy("a").agg(F.count("*").alias("one_way"))
+    # As many tasks as rows ask for, so that none sorts or holds more than about _TASK_ROWS of them.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lines.count() // _TASK_ROWS + 1)
+    orders, lines = orders.select("o_orderkey", "o_custkey").repartition(parts, "o_orderkey"), lines.select("l_orderkey", "l_suppkey").repartition(parts, "l_orderkey")
+    edges = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("a"), F.col("l_suppkey").alias("b"))
+    return graph.mirror_gaps(edges, parts).groupBy("a").agg(F.count("*").alias("one_way"))
 
 
 @query("""
