@@ -1,8 +1,8 @@
 """Patterns over an edge table (src, dst, type), at most two hops.
 
-Two sources meet in a target, so a hub with d sources has d * d ways through it. Targets with up to `WAYS` ways are
-joined as they are; those with more are split: one side of the hub is dealt into parts, the other goes to every part, so
-that no task makes more than about WAYS pairs of one hub.
+Two sources meet in a target, so a hub with d sources has d * d ways through it. Targets with up to `ways` ways are
+joined as they are; those with more are split: both sides of the hub are dealt into blocks, and each two blocks meet in a
+cell of about BLOCK * BLOCK pairs. Blocks are sent, not rows, so that d * d / `BLOCK` is what a hub's shuffle grows with.
 
 Pairs are counted where their first source is: each edge is sent there with the list of sources that its target leads to,
 so that ways are neither rows of a shuffle nor kept in a map of all pairs by every task.
@@ -21,30 +21,50 @@ from tessera.session import stage
 WAYS = 1 << 20
 #: Hubs that are broadcast at most; more are joined by a shuffle.
 FEW_HUBS = 100_000
+#: Sources of a hub, or members of a class, that travel as one row.
+BLOCK = 1 << 9
 #: Times WAYS that a source may have ways of its own for them to meet in one task, and that a task has on average.
 BUSY, TASK = 16, 4
 
 
+def _products(met: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows (a, b) for each row (p, q) of `met`, with its other columns: every a of p in `left` with every b of q in `right`.
+
+    Members travel in blocks, and two blocks make a cell of about BLOCK * BLOCK pairs, so that what is shuffled is a small
+    part of the pairs, and cells are dealt to tasks whatever they belong to.
+    """
+    cells, blocks = met, []
+    for members, c, key, i in ((left, "a", "p", "i"), (right, "b", "q", "j")):
+        n, many = stage(members.groupBy(key).agg(F.count("*").alias(f"n_{key}"))), F.ceil(F.col(f"n_{key}") / BLOCK).cast("int")
+        rows = members.join(n, key).groupBy(key, F.pmod(F.xxhash64(c), many).cast("int").alias(i))
+        blocks.append(stage(rows.agg(F.sort_array(F.collect_list(c)).alias(f"{c}s"))))
+        cells = cells.join(n.withColumn(i, F.sequence(F.lit(0), many - 1)), key)
+    cells = stage(cells)
+    pairs = cells.agg(F.coalesce(F.sum(F.col("n_p") * F.col("n_q")), F.lit(0))).first()[0]
+    cells = cells.drop("n_p", "n_q").withColumn("i", F.explode("i")).withColumn("j", F.explode("j"))
+    cell, parts = ["p", "i", "q", "j"], _tasks(met, pairs)
+    one = cells.join(blocks[0], ["p", "i"]).repartition(parts, *cell)
+    two = cells.select(*cell).join(blocks[1], ["q", "j"]).repartition(parts, *cell)
+    rest = [c for c in met.columns if c not in ("p", "q")]
+    return one.join(two, cell).select(F.explode("as").alias("a"), "bs", *rest).select("a", F.explode("bs").alias("b"), *rest)
+
+
+def _tasks(df: DataFrame, pairs: int) -> int:
+    """Tasks for so many pairs: as many as Spark would take, or more."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(10_000, pairs // (TASK * WAYS) + 1))
+
+
 def _meetings(x: DataFrame, y: DataFrame, ways: int = WAYS) -> DataFrame:
-    """Pairs (a, b, dst) of the rows (a, dst) of x and (b, dst) of y."""
+    """Pairs (a, b) of the rows (a, dst) of x and (b, dst) of y, one for each way."""
     n_x, n_y = (side.groupBy("dst").agg(F.count("*").alias(f"n_{c}")) for side, c in ((x, "x"), (y, "y")))
-    crowd = F.col("n_x") * F.col("n_y")
-    hubs = n_x.join(n_y, "dst").filter(crowd > ways)
-    hubs = stage(hubs.select("dst", F.least(F.ceil(crowd / ways), F.greatest("n_x", "n_y")).cast("int").alias("parts"), (F.col("n_x") >= F.col("n_y")).alias("deal_x")))
+    hubs = stage(n_x.join(n_y, "dst").filter(F.col("n_x") * F.col("n_y") > ways).select("dst"))
     few = hubs.count()
-    plain = x.join(y, "dst")
     if not few:
-        return plain.select("a", "b", "dst")
+        return x.join(y, "dst").select("a", "b")
     hubs = F.broadcast(hubs) if few <= FEW_HUBS else hubs
-    light = x.join(hubs.select("dst"), "dst", "left_anti").join(y, "dst").select("a", "b", "dst")
-
-    def dealt(side: DataFrame, c: str, own: bool) -> DataFrame:
-        part = F.array(F.pmod(F.xxhash64(c), F.col("parts")).cast("int"))
-        every = F.sequence(F.lit(0), F.col("parts") - 1)
-        return side.join(hubs, "dst").select(c, "dst", F.explode(F.when(F.col("deal_x") == F.lit(own), part).otherwise(every)).alias("part"))
-
-    heavy = dealt(x, "a", True).join(dealt(y, "b", False), ["dst", "part"]).select("a", "b", "dst")
-    return light.unionByName(heavy)
+    light = x.join(hubs, "dst", "left_anti").join(y, "dst").select("a", "b")
+    p, q = (side.join(hubs, "dst", "left_semi").withColumnRenamed("dst", c) for side, c in ((x, "p"), (y, "q")))
+    return light.unionByName(_products(hubs.select(F.col("dst").alias("p"), F.col("dst").alias("q")), p, q))
 
 
 def _of(edges: DataFrame, kind: str, name: str) -> DataFrame:
@@ -66,7 +86,6 @@ def _pairs(kinds: list[tuple[DataFrame, DataFrame | None, int]], summary: Callab
 
     Ways through hubs and those of busy sources are made apart and meet by a shuffle of pairs; `summary` can be repeated.
     """
-    spark = kinds[0][0].sparkSession
     lists, apart, total = [], [], 0
     for x, y, value in kinds:
         n_x = x.groupBy("dst").agg(F.count("*").alias("n_x"))
@@ -85,8 +104,7 @@ def _pairs(kinds: list[tuple[DataFrame, DataFrame | None, int]], summary: Callab
             x = x.join(busy, "a", "left_anti")
         others = y.groupBy("dst").agg(F.collect_list("b").alias("bs"))
         lists.append(x.join(others, "dst").select("a", "bs", F.lit(value).cast("long").alias("v")))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(10_000, total // (TASK * WAYS) + 1))
-    met = reduce(DataFrame.unionByName, lists).repartition(parts, "a").select("a", F.explode("bs").alias("b"), "v")
+    met = reduce(DataFrame.unionByName, lists).repartition(_tasks(kinds[0][0], total), "a").select("a", F.explode("bs").alias("b"), "v")
     out = met.filter(keep).groupBy("a", "b").agg(summary(F.col("v")).alias("v"))
     if apart:
         out = reduce(DataFrame.unionByName, apart).filter(keep).unionByName(out).groupBy("a", "b").agg(summary(F.col("v")).alias("v"))
@@ -107,10 +125,8 @@ def two_hop(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> Data
         return _pairs([(x, None if first == second else y, 1)], F.sum, F.col("a") != F.col("b"), ways).withColumnRenamed("v", "paths")
     x = x.join(p.filter("a = p").select("a"), "a", "left_semi")
     y = y.join(q.filter("b = q").select("b"), "b", "left_semi")
-    pairs = stage(_pairs([(x, y, 1)], F.sum, F.lit(True), ways).withColumnRenamed("v", "paths"))
-    left = pairs.withColumnRenamed("a", "p").join(p, "p").select(F.struct("a", "paths").alias("a"), F.col("b").alias("dst"))
-    met = _meetings(left, q.select("b", F.col("q").alias("dst")), ways)
-    return met.select("a.a", "b", "a.paths").filter("a <> b")
+    pairs = stage(_pairs([(x, y, 1)], F.sum, F.lit(True), ways).withColumnsRenamed({"a": "p", "b": "q", "v": "paths"}))
+    return _products(pairs, p, q).filter("a <> b")
 
 
 def alternatives(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> DataFrame:
