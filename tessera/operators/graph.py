@@ -4,8 +4,10 @@ Two sources meet in a target, so a hub with d sources has d * d ways through it.
 joined as they are; those with more are split: both sides of the hub are dealt into blocks, and each two blocks meet in a
 cell of about BLOCK * BLOCK pairs. Blocks are sent, not rows, so that d * d / `BLOCK` is what a hub's shuffle grows with.
 
-Pairs are counted where their first source is: each edge is sent there with the list of sources that its target leads to,
-so that ways are neither rows of a shuffle nor kept in a map of all pairs by every task.
+Pairs are counted where their first source is, so that ways are neither rows of a shuffle nor kept in a map of all pairs by
+every task. Few ways: each edge is sent there with the list of sources that its target leads to. Many: sources that are next
+to each other by their least target share a home, and each target sends its list once to a home, however many of its
+sources are there. Pairs of one kind of edge are counted once, a < b.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ WAYS = 1 << 20
 FEW_HUBS = 100_000
 #: Sources of a hub, or members of a class, that travel as one row.
 BLOCK = 1 << 9
+#: Ways up to which each source is its own home.
+FEW_WAYS = 1 << 25
 #: Times WAYS that a source may have ways of its own for them to meet in one task, and that a task has on average.
 BUSY, TASK = 16, 4
 
@@ -68,7 +72,12 @@ def _meetings(x: DataFrame, y: DataFrame, ways: int = WAYS) -> DataFrame:
 
 
 def _of(edges: DataFrame, kind: str, name: str) -> DataFrame:
-    return edges.filter(F.col("type") == kind).select(F.col("src").alias(name), "dst")
+    return edges.filter((F.col("type") == kind) & F.col("dst").isNotNull()).select(F.col("src").alias(name), "dst")
+
+
+def _shapes(side: DataFrame, c: str) -> DataFrame:
+    """The number of targets of each source, the least and the greatest."""
+    return stage(side.groupBy(c).agg(F.count("*").alias("_n"), F.min("dst").alias("_lo"), F.max("dst").alias("_hi")))
 
 
 def _classes(side: DataFrame, c: str, name: str) -> DataFrame:
@@ -80,32 +89,84 @@ def _classes(side: DataFrame, c: str, name: str) -> DataFrame:
     return stage(shapes.join(named, ["_n", "_h1", "_h2"]).select(c, name))
 
 
-def _pairs(kinds: list[tuple[DataFrame, DataFrame | None, int]], summary: Callable[[Column], Column], keep: Column, ways: int) -> DataFrame:
+def _homes(sources: DataFrame, parts: int) -> DataFrame:
+    """Rows (a, home): sources in the order of their least targets, in up to `parts` homes of about as many edges each."""
+    unit = max(1, (sources.agg(F.sum("_n")).first()[0] or 0) // (64 * parts))
+    units = sources.select("a", "_lo", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_n") / unit).cast("int"))))
+    ranged = units.repartitionByRange(parts, "_lo", "a").select("a", F.spark_partition_id().alias("home"))
+    return stage(ranged.groupBy("a").agg(F.min("home").alias("home")))
+
+
+def _parcels(x: DataFrame, y: DataFrame | None, homes: DataFrame) -> DataFrame:
+    """Rows (home, as, bs), one for a target and a home: its sources there, and those that they meet. Without y, these are the
+    target's sources in later homes; those in `as`, which is sorted, meet each other as well."""
+    x = x.join(homes, "a")
+    if y is not None:
+        here = x.repartition("dst").groupBy("dst", "home").agg(F.collect_list("a").alias("as"))
+        return here.join(y.groupBy("dst").agg(F.collect_list("b").alias("bs")), "dst").select("home", "as", "bs")
+    met = x.groupBy("dst").agg(F.sort_array(F.collect_list(F.struct("home", "a"))).alias("l")).filter(F.size("l") > 1)
+    met = met.select(F.col("l.a").alias("all"), F.col("l.home").alias("of")).withColumn("homes", F.array_distinct("of"))
+    met = met.select("*", F.posexplode("homes").alias("k", "home")).withColumn("at", F.array_position("of", F.col("home")).cast("int"))
+    following = F.array_position("of", F.get("homes", F.col("k") + 1)).cast("int")
+    met = met.withColumn("end", F.coalesce(following, F.size("all") + 1))
+    met = met.select("home", F.slice("all", F.col("at"), F.col("end") - F.col("at")).alias("as"), F.slice("all", F.col("end"), F.size("all")).alias("bs"))
+    return met.filter(F.size("as") + F.size("bs") > 1)
+
+
+def _pairs(kinds: list[tuple[DataFrame, DataFrame | None, int]], summary: Callable[[Column], Column], ways: int, sources: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of the rows (a, dst) and (b, dst) of each kind, with the summary `v` of the kinds' values, one for each
-    way. Without rows (b, dst), they are the rows (a, dst).
+    way. Without rows (b, dst), in any kind, they are the rows (a, dst), and each pair comes once, as a < b. `sources` are
+    the shapes of all a.
 
     Ways through hubs and those of busy sources are made apart and meet by a shuffle of pairs; `summary` can be repeated.
     """
-    lists, apart, total = [], [], 0
+    twin = kinds[0][1] is None
+    keep = F.col("a") < F.col("b") if twin else F.lit(True)
+    sources = _shapes(reduce(DataFrame.unionByName, [x for x, _, _ in kinds]), "a") if sources is None else sources
+    most, least, last = sources.agg(F.coalesce(F.max("_n"), F.lit(0)), F.min("a"), F.max("a")).first()
+    sides, apart, total = [], [], 0
     for x, y, value in kinds:
         n_x = x.groupBy("dst").agg(F.count("*").alias("n_x"))
-        n_y = n_x.withColumn("n_y", F.col("n_x")) if y is None else n_x.join(y.groupBy("dst").agg(F.count("*").alias("n_y")), "dst")
-        y = x.withColumnRenamed("a", "b") if y is None else y
+        n_y = n_x.withColumn("n_y", F.col("n_x")) if twin else n_x.join(y.groupBy("dst").agg(F.count("*").alias("n_y")), "dst")
+        other = x.withColumnRenamed("a", "b") if twin else y
         crowds = stage(n_y.select("dst", "n_y", (F.col("n_x") * F.col("n_y")).alias("crowd")))
-        sums = crowds.agg(F.coalesce(F.sum("crowd"), F.lit(0)), F.coalesce(F.max("crowd"), F.lit(0))).first()
-        total += sums[0]
+        sums = crowds.agg(*(F.coalesce(f, F.lit(0)) for f in (F.sum("crowd"), F.max("crowd"), F.max("n_y")))).first()
+        total += sums[0] // 2 if twin else sums[0]
         if sums[1] > ways:
             hubs = crowds.filter(F.col("crowd") > ways).select("dst")
-            apart.append(_meetings(x.join(hubs, "dst", "left_semi"), y, ways).select("a", "b", F.lit(value).cast("long").alias("v")))
+            apart.append(_meetings(x.join(hubs, "dst", "left_semi"), other, ways).select("a", "b", F.lit(value).cast("long").alias("v")))
             x = x.join(hubs, "dst", "left_anti")
-        busy = stage(x.join(crowds, "dst").groupBy("a").agg(F.sum("n_y").alias("n")).filter(F.col("n") > BUSY * ways).select("a"))
-        if not busy.isEmpty():
-            apart.append(_meetings(x.join(busy, "a", "left_semi"), y, ways).select("a", "b", F.lit(value).cast("long").alias("v")))
-            x = x.join(busy, "a", "left_anti")
-        others = y.groupBy("dst").agg(F.collect_list("b").alias("bs"))
-        lists.append(x.join(others, "dst").select("a", "bs", F.lit(value).cast("long").alias("v")))
-    met = reduce(DataFrame.unionByName, lists).repartition(_tasks(kinds[0][0], total), "a").select("a", F.explode("bs").alias("b"), "v")
-    out = met.filter(keep).groupBy("a", "b").agg(summary(F.col("v")).alias("v"))
+        if most * sums[2] > BUSY * ways:
+            busy = stage(x.join(crowds, "dst").groupBy("a").agg(F.sum("n_y").alias("n")).filter(F.col("n") > BUSY * ways).select("a"))
+            if not busy.isEmpty():
+                apart.append(_meetings(x.join(busy, "a", "left_semi"), other, ways).select("a", "b", F.lit(value).cast("long").alias("v")))
+                if twin:  # the others meet busy sources too
+                    apart.append(_meetings(x.join(busy, "a", "left_anti"), x.join(busy, "a", "left_semi").withColumnRenamed("a", "b"), ways).select("a", "b", F.lit(value).cast("long").alias("v")))
+                x = x.join(busy, "a", "left_anti")
+        sides.append((x, y, F.lit(value).cast("long").alias("v")))
+    parts = _tasks(sources, total)
+    if total <= FEW_WAYS:
+        lists = []
+        for x, y, v in sides:
+            others = (x.withColumnRenamed("a", "b") if twin else y).groupBy("dst").agg(F.collect_list("b").alias("bs"))
+            lists.append(x.join(others, "dst").select("a", F.filter("bs", lambda b: b > F.col("a")).alias("bs") if twin else "bs", v))
+        met = reduce(DataFrame.unionByName, lists).repartition(parts, "a").select("a", F.explode("bs").alias("b"), "v")
+        out = met.groupBy("a", "b").agg(summary(F.col("v")).alias("v"))
+    else:
+        kind, homes = sources.schema["a"].dataType, _homes(sources, parts)
+        small = twin and kind.typeName() == "long" and -(1 << 31) <= least and last < 1 << 31  # half of what is shuffled
+        if small:
+            sides = [(x.withColumn("a", F.col("a").cast("int")), y, v) for x, y, v in sides]
+            homes = homes.withColumn("a", F.col("a").cast("int"))
+        met = reduce(DataFrame.unionByName, [_parcels(x, y, homes).select("*", v) for x, y, v in sides]).repartitionById(parts, F.col("home"))
+        if twin:
+            met = met.select("*", F.posexplode("as").alias("k", "c"))
+            met = met.select("home", "v", "c", F.explode(F.concat(F.slice("as", F.col("k") + 2, F.size("as")), "bs")).alias("d"))
+            met = met.select("home", F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"), "v")
+        else:
+            met = met.select("home", "v", "bs", F.explode("as").alias("a")).select("home", "a", F.explode("bs").alias("b"), "v")
+        out = met.groupBy("home", "a", "b").agg(summary(F.col("v")).alias("v"))
+        out = out.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b") if twin else "b", "v")
     if apart:
         out = reduce(DataFrame.unionByName, apart).filter(keep).unionByName(out).groupBy("a", "b").agg(summary(F.col("v")).alias("v"))
     return out
@@ -117,15 +178,23 @@ def two_hop(edges: DataFrame, first: str, second: str, ways: int = WAYS) -> Data
     Where most sources share their set of targets with others, paths are counted between such classes, and pairs are only
     written out, without a shuffle or an aggregate of them.
     """
-    e = stage(edges.distinct())
-    x, y = _of(e, first, "a"), _of(e, second, "b")
-    p = _classes(x, "a", "p")
-    q = p.withColumnsRenamed({"a": "b", "p": "q"}) if first == second else _classes(y, "b", "q")
-    if 2 * (p.filter("a = p").count() + q.filter("b = q").count()) > p.count() + q.count():
-        return _pairs([(x, None if first == second else y, 1)], F.sum, F.col("a") != F.col("b"), ways).withColumnRenamed("v", "paths")
+    x = stage(_of(edges, first, "a").distinct())
+    y = None if first == second else stage(_of(edges, second, "b").distinct())
+    shapes = [_shapes(x, "a")] if y is None else [_shapes(x, "a"), _shapes(y, "b")]
+    apart = sum(s.select("_n", "_lo", "_hi").distinct().count() for s in shapes)  # classes at least
+    many = 2 * apart > sum(s.count() for s in shapes)
+    if not many:
+        p = _classes(x, "a", "p")
+        q = p.withColumnsRenamed({"a": "b", "p": "q"}) if y is None else _classes(y, "b", "q")
+        many = 2 * (p.filter("a = p").count() + q.filter("b = q").count()) > p.count() + q.count()
+    if many:
+        pairs = _pairs([(x, y, 1)], F.sum, ways, shapes[0])
+        if y is None:
+            pairs = pairs.select(F.stack(F.lit(2), "a", "b", "b", "a").alias("a", "b"), "v")
+        return pairs.filter("a <> b").withColumnRenamed("v", "paths")
+    y = (x.withColumnRenamed("a", "b") if y is None else y).join(q.filter("b = q").select("b"), "b", "left_semi")
     x = x.join(p.filter("a = p").select("a"), "a", "left_semi")
-    y = y.join(q.filter("b = q").select("b"), "b", "left_semi")
-    pairs = stage(_pairs([(x, y, 1)], F.sum, F.lit(True), ways).withColumnsRenamed({"a": "p", "b": "q", "v": "paths"}))
+    pairs = stage(_pairs([(x, y, 1)], F.sum, ways).withColumnsRenamed({"a": "p", "b": "q", "v": "paths"}))
     return _products(pairs, p, q).filter("a <> b")
 
 
@@ -135,14 +204,14 @@ def alternatives(edges: DataFrame, first: str, second: str, ways: int = WAYS) ->
     Only edges of sources that share a target by the type with fewer ways are expanded. Both types' pairs meet in one
     aggregate, each pair once, from its lesser source.
     """
-    e = stage(edges.select("src", "dst", "type").distinct())
-    crowds = stage(e.filter(F.col("type").isin(first, second)).groupBy("type", "dst").agg(F.count("*").alias("n")))
+    e = stage(edges.select("src", "dst", "type").filter(F.col("type").isin(first, second)).distinct())
+    crowds = stage(e.groupBy("type", "dst").agg(F.count("*").alias("n")))
     ways_of = {r["type"]: r["ways"] for r in crowds.groupBy("type").agg(F.sum(F.col("n") * F.col("n")).alias("ways")).collect()}
     rare = min((first, second), key=lambda t: ways_of.get(t, 0))
     shared = crowds.filter((F.col("type") == rare) & (F.col("n") > 1)).select("type", "dst")
     e = stage(e.join(stage(e.join(shared, ["type", "dst"], "left_semi").select("src").distinct()), "src", "left_semi"))
     kinds = [(_of(e, kind, "a"), None, bit) for bit, kind in enumerate((first, second), 1)]
-    both = stage(_pairs(kinds, F.bit_or, F.col("a") < F.col("b"), ways).filter(F.col("v") == 3).select("a", "b"))
+    both = stage(_pairs(kinds, F.bit_or, ways).filter(F.col("v") == 3).select("a", "b"))
     return both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from tessera.operators import graph
 
 
-def shuffled(spark):
-    """Rows that all stages so far have written to shuffles."""
+def shuffled(spark, what="shuffleWriteRecords"):
+    """Rows (or bytes) that all stages so far have written to shuffles."""
     sc, jvm = spark.sparkContext._jsc.sc(), spark.sparkContext._jvm
     sc.listenerBus().waitUntilEmpty()
     none = spark.sparkContext._gateway.new_array(jvm.double, 0)
     stages = sc.statusStore().stageList(None, False, False, none, jvm.java.util.ArrayList())
-    return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+    return sum(getattr(stages.apply(k), what)() for k in range(stages.size()))
 
 
 @pytest.mark.parametrize("classes", [1, 400])
