@@ -99,17 +99,25 @@ def _homes(sources: DataFrame, parts: int) -> DataFrame:
 
 def _parcels(x: DataFrame, y: DataFrame | None, homes: DataFrame) -> DataFrame:
     """Rows (home, as, bs), one for a target and a home: its sources there, and those that they meet. Without y, these are the
-    target's sources in later homes; those in `as`, which is sorted, meet each other as well."""
+    target's sources in half of the other homes, since of two homes the lesser one has their pairs if their sum is even, else
+    the greater one; those in `as`, which is sorted, meet each other as well."""
     x = x.join(homes, "a")
     if y is not None:
         here = x.repartition("dst").groupBy("dst", "home").agg(F.collect_list("a").alias("as"))
         return here.join(y.groupBy("dst").agg(F.collect_list("b").alias("bs")), "dst").select("home", "as", "bs")
-    met = x.groupBy("dst").agg(F.sort_array(F.collect_list(F.struct("home", "a"))).alias("l")).filter(F.size("l") > 1)
-    met = met.select(F.col("l.a").alias("all"), F.col("l.home").alias("of")).withColumn("homes", F.array_distinct("of"))
-    met = met.select("*", F.posexplode("homes").alias("k", "home")).withColumn("at", F.array_position("of", F.col("home")).cast("int"))
+    # Even homes come first, then odd ones, both in order, so that all that a home has are stretches of one array.
+    odd, home, n = F.col("home") % 2, F.col("home"), F.size("all")
+    met = x.groupBy("dst").agg(F.sort_array(F.collect_list(F.struct(odd.alias("odd"), "home", "a"))).alias("l")).filter(F.size("l") > 1)
+    met = met.select(F.col("l.a").alias("all"), F.col("l.home").alias("of"), F.array_position("l.odd", 1).cast("int").alias("odds"))
+    met = met.withColumns({"evens": F.when(F.col("odds") == 0, n).otherwise(F.col("odds") - 1), "ranked": F.sort_array("of"), "homes": F.array_distinct("of")})
+    met = met.select("*", F.posexplode("homes").alias("k", "home"))
     following = F.array_position("of", F.get("homes", F.col("k") + 1)).cast("int")
-    met = met.withColumn("end", F.coalesce(following, F.size("all") + 1))
-    met = met.select("home", F.slice("all", F.col("at"), F.col("end") - F.col("at")).alias("as"), F.slice("all", F.col("end"), F.size("all")).alias("bs"))
+    met = met.withColumns({"at": F.array_position("of", home).cast("int"), "end": F.coalesce(following, n + 1)})
+    first, last = F.when(odd == 1, F.col("evens") + 1).otherwise(1), F.when(odd == 1, n).otherwise(F.col("evens"))
+    lesser = F.array_position("ranked", home).cast("int") - 1 - (F.col("at") - first)  # in homes of the other kind
+    later = F.slice("all", F.col("end"), last - F.col("end") + 1)
+    earlier = F.slice("all", F.when(odd == 1, 1).otherwise(F.col("evens") + 1), lesser)
+    met = met.select("home", F.slice("all", F.col("at"), F.col("end") - F.col("at")).alias("as"), F.concat(later, earlier).alias("bs"))
     return met.filter(F.size("as") + F.size("bs") > 1)
 
 
