@@ -162,7 +162,7 @@ def _pairs(kinds: list[tuple[DataFrame, DataFrame | None, int]], summary: Callab
         out = met.groupBy("a", "b").agg(summary(F.col("v")).alias("v"))
     else:
         kind, homes = sources.schema["a"].dataType, _homes(sources, parts)
-        small = twin and kind.typeName() == "long" and -(1 << 31) <= least and last < 1 << 31  # half of what is shuffled
+        small = twin and kind.typeName() == "long" and least is not None and -(1 << 31) <= least and last < 1 << 31  # half of what is shuffled
         if small:
             sides = [(x.withColumn("a", F.col("a").cast("int")), y, v) for x, y, v in sides]
             homes = homes.withColumn("a", F.col("a").cast("int"))

@@ -75,3 +75,10 @@ def test_homes_have_their_share_of_pairs(spark):
     sizes = [len(v) for v in met.values()]
     assert sum(sizes) == 300 * 24 * 23 // 2 and len(sizes) == 9 and max(sizes) < 1.3 * min(sizes)
     assert sum(len(set(v)) for v in met.values()) == len({x for v in met.values() for x in v})
+
+
+def test_sources_without_keys(spark, monkeypatch):
+    monkeypatch.setattr(graph, "FEW_WAYS", 0)
+    edges = spark.createDataFrame([(None, 1, k) for k in "xxyy"], "src long, dst long, type string").withColumn("dst", F.explode(F.expr("sequence(1L, 9L)")))
+    x = graph._of(edges, "x", "a")
+    assert graph._pairs([(x, None, 1)], F.sum, 1 << 20).collect() == []
